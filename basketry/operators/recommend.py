@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from basketry.functions.text import joined_text
 from basketry.operators import tfidf
 from basketry.operators.scoring import top_scores
-from basketry.session import materialize
+from basketry.session import materialize, spread
 
 USER, PRODUCT = "user_id", "product_id"
 TEXT_COLUMNS = ("product_name", "category", "description")
@@ -54,9 +54,12 @@ def fit_content(
 
 
 def history_counts(users: DataFrame, interactions: DataFrame) -> DataFrame:
-    """(user, product, n) of the listed users: repeats count, folded before any join."""
+    """(user, product, n) of the listed users: repeats count, folded before any join.
+
+    Written once: profiles are summed from it, and it says what to leave out.
+    """
     folded = interactions.where(F.col(USER).isNotNull()).groupBy(USER, PRODUCT).agg(F.count(F.lit(1)).alias("n"))
-    return folded.join(users.select(USER), USER, "left_semi")
+    return spread(materialize(folded.join(users.select(USER), USER, "left_semi"), "history"))
 
 
 def user_profiles(history: DataFrame, model: tfidf.TfIdf) -> DataFrame:

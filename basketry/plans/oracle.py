@@ -92,26 +92,26 @@ def checks(name: str) -> list[tuple[str, str, str, bool]]:
         out.append(("required", c, count_of(f"{c} IS NULL" if c in have else "true"), True))
     if name == "users":
         out += [
-            ("malformed", "age", "CAST(0 AS BIGINT)", True),
+            ("malformed", "age", count_of("false"), True),
             ("range", "age", count_of("age < 0 OR age > 120"), True),
             ("email", "email", count_of("email IS NULL OR NOT contains(email, '@')"), True),
         ]
     if name == "products":
         e = f"coalesce({NUMBER}, {EXTRACT})"
         out += [
-            ("malformed", "price", "CAST(0 AS BIGINT)", True),
+            ("malformed", "price", count_of("false"), True),
             ("range", "price", count_of("price < 0"), True),
             ("malformed", "avg_rating", count_of(f"avg_rating IS NOT NULL AND {e} IS NULL"), True),
             ("range", "avg_rating", count_of(f"{e} < 0 OR {e} > 5"), True),
         ]
     if name == "reviews":
         out += [
-            ("malformed", "rating", "CAST(0 AS BIGINT)", True),
+            ("malformed", "rating", count_of("false"), True),
             ("range", "rating", count_of("rating < 1 OR rating > 5"), True),
         ]
     if name == "sessions":
         out += [
-            ("malformed", "session_duration_sec", "CAST(0 AS BIGINT)", True),
+            ("malformed", "session_duration_sec", count_of("false"), True),
             ("range", "session_duration_sec", count_of("session_duration_sec < 0"), True),
         ]
     return out
@@ -151,7 +151,7 @@ def text_ctes() -> tuple[str, ...]:
     words = ", ".join(f"'{w}'" for w in stop_words())
     return (
         f"tok AS (SELECT product_id, unnest(regexp_extract_all(lower(concat(product_name, ' ', category, ' ', description)), "
-        f"'{TERM_PATTERN}', 1)) AS term FROM v_items)",
+        f"'{TERM_PATTERN}')) AS term FROM v_items)",
         f"tf AS (SELECT product_id, term, count(*) AS tf FROM tok WHERE term NOT IN ({words}) GROUP BY ALL)",
         "vocab AS (SELECT term, CAST(sum(tf) AS BIGINT) AS corpus_freq, count(*) AS doc_freq FROM tf GROUP BY term "
         "ORDER BY corpus_freq DESC, term LIMIT 1000)",
@@ -485,7 +485,7 @@ def build() -> dict[str, str]:
     )
     words = ", ".join(f"'{w}'" for w in stop_words())
     q["tokenize_terms"] = (
-        f"SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '{TERM_PATTERN}', 1)) AS term "
+        f"SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '{TERM_PATTERN}')) AS term "
         f"FROM documents) WHERE term NOT IN ({words}) GROUP BY ALL"
     )
     q["tfidf_vocabulary"] = with_views(

@@ -14,13 +14,19 @@ from basketry.functions.temporal import (
 from basketry.operators.dedup import keep_first
 from basketry.operators.encode import clip_at_zero, label_encode, log_scale, minmax_scale
 from basketry.operators.impute import drop_missing, fill_constants, median_impute
+from basketry.session import materialize
 
 Order = Sequence[str | Column]
 
 
+def first_rows(df: DataFrame, key: str, order: Order) -> DataFrame:
+    """The deduplicated table, written once: the statistics that follow read single columns of it."""
+    return materialize(keep_first(nan_to_null(df), [key], order), "first-rows")
+
+
 def prepare_users(df: DataFrame, order: Order, date_format: str = DATE_FORMAT) -> DataFrame:
     """Dedup, median age, gender fill, three codes, signup year and month, scaled age."""
-    out = keep_first(nan_to_null(df), ["user_id"], order)
+    out = first_rows(df, "user_id", order)
     out = out.withColumn("age", numeric_column(out, "age"))
     out = median_impute(out, ["age"])
     out = fill_constants(out, {"gender": "Unknown"})
@@ -36,7 +42,7 @@ def prepare_users(df: DataFrame, order: Order, date_format: str = DATE_FORMAT) -
 
 def prepare_products(df: DataFrame, order: Order) -> DataFrame:
     """Dedup, median price, rating from text, two codes, log price."""
-    out = keep_first(nan_to_null(df), ["product_id"], order)
+    out = first_rows(df, "product_id", order)
     out = out.withColumn("price", numeric_column(out, "price"))
     out = median_impute(out, ["price"])
     out = out.withColumn("avg_rating", F.coalesce(extract_number(F.col("avg_rating")), F.lit(0.0)))
@@ -46,7 +52,7 @@ def prepare_products(df: DataFrame, order: Order) -> DataFrame:
 
 def prepare_reviews(df: DataFrame, order: Order, date_format: str = DATE_FORMAT) -> DataFrame:
     """Dedup, drop rows without user or product, middle rating for none, sentiment code, date."""
-    out = keep_first(nan_to_null(df), ["review_id"], order)
+    out = first_rows(df, "review_id", order)
     out = drop_missing(out, ["user_id", "product_id"])
     out = out.withColumn("rating", numeric_column(out, "rating"))
     out = fill_constants(out, {"rating": 3.0})
@@ -56,7 +62,7 @@ def prepare_reviews(df: DataFrame, order: Order, date_format: str = DATE_FORMAT)
 
 def prepare_sessions(df: DataFrame, order: Order) -> DataFrame:
     """Dedup, zero for no duration, scaled duration."""
-    out = keep_first(nan_to_null(df), ["session_id"], order)
+    out = first_rows(df, "session_id", order)
     out = out.withColumn("session_duration_sec", numeric_column(out, "session_duration_sec"))
     out = fill_constants(out, {"session_duration_sec": 0.0})
     return minmax_scale(out, {"session_duration_sec": "duration_normalized"})
@@ -72,5 +78,5 @@ def clean_events(df: DataFrame, timestamp_format: str = TIMESTAMP_FORMAT) -> Dat
 
 def prepare_clickstream(df: DataFrame, order: Order, timestamp_format: str = TIMESTAMP_FORMAT) -> DataFrame:
     """Dedup first, then drop unlinked rows, hour, dwell time, event code."""
-    out = clean_events(keep_first(nan_to_null(df), ["event_id"], order), timestamp_format)
+    out = clean_events(first_rows(df, "event_id", order), timestamp_format)
     return label_encode(out, {"event_type": "event_type_encoded"})

@@ -485,7 +485,8 @@ def user_profile(spark, d):
 
 @query
 def content_topk(spark, d):
-    recs = recommend.recommend_content(view(spark, d, "v_users"), catalogue(spark, d), view(spark, d, "v_interactions"), 5)
+    users, interactions = view(spark, d, "v_users"), view(spark, d, "v_interactions")
+    recs = recommend.recommend_content(users, catalogue(spark, d), interactions, 5, item_model(spark, d))
     return recs.select("user_id", "rank", "product_id", r6("score"))
 
 
@@ -516,7 +517,7 @@ def eval_report(spark, d):
     train, test = materialize(train, "train"), materialize(test, "test")
     lists = {
         "popularity": recommend.recommend_popular(users, items, 20),
-        "content_tfidf": recommend.recommend_content(users, items, train, 20),
+        "content_tfidf": recommend.recommend_content(users, items, train, 20, item_model(spark, d)),
     }
     return rounded_metrics(evaluate.compare_models(test, lists, 20))
 

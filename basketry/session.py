@@ -57,3 +57,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = work_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores, when its scan has fewer splits than there are cores.
+
+    For costly per-row work on small inputs. A large table has more splits than
+    cores and is left alone, so nothing large is ever shuffled here. Give it a
+    stored table: counting the splits of a join would run the join.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
