@@ -96,7 +96,8 @@ def python_float_text(x: Column) -> Column:
         sign,
         F.regexp_replace(mantissa, r"\.0$", ""),
         F.when(exponent < 0, F.lit("e-")).otherwise(F.lit("e+")),
-        F.lpad(F.abs(exponent).cast("string"), 2, "0"),
+        F.when(F.abs(exponent) < 10, F.lit("0")).otherwise(F.lit("")),
+        F.abs(exponent).cast("string"),
     )
     return (
         F.when(x == float("inf"), F.lit("inf"))

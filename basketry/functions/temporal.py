@@ -2,19 +2,42 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DATE_FORMAT = "yyyy-MM-dd"
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
+KNOWN_FORMATS = (
+    DATE_FORMAT, TIMESTAMP_FORMAT, "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ssXXX", "yyyy-MM-dd HH:mm:ss.SSSSSS",
+    "yyyy/MM/dd", "MM/dd/yyyy", "MM/dd/yyyy HH:mm:ss", "dd/MM/yyyy", "dd-MM-yyyy",
+)
+
+
+def infer_format(df: DataFrame, column: str, order: Sequence[str | Column]) -> str | None:
+    """The known format of the column's first value, which then holds for the whole column.
+
+    None when the first value fits no format, or there is no value. Reads one value.
+    """
+    if not isinstance(df.schema[column].dataType, T.StringType):
+        return None
+    first = df.where(F.col(column).isNotNull()).orderBy(*order).select(F.col(column).alias("v")).limit(1)
+    fits = [F.when(F.try_to_timestamp("v", F.lit(f)).isNotNull(), F.lit(f)) for f in KNOWN_FORMATS]
+    row = first.select(F.coalesce(*fits).alias("f")).first()
+    return row.f if row else None
+
 
+def parse_datetime(df: DataFrame, column: str, fmt: str | None) -> Column:
+    """``column`` as a timestamp; text in any other format becomes null.
 
-def parse_datetime(df: DataFrame, column: str, fmt: str) -> Column:
-    """``column`` as a timestamp; text in any other format becomes null."""
+    Without a format each value is read in the first known format it fits.
+    """
     if isinstance(df.schema[column].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return F.col(column)
-    return F.try_to_timestamp(F.col(column), F.lit(fmt))
+    formats = KNOWN_FORMATS if fmt is None else (fmt,)
+    return F.coalesce(*(F.try_to_timestamp(F.col(column), F.lit(f)) for f in formats))
 
 
 def year_or_zero(ts: Column) -> Column:

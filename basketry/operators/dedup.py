@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from basketry.functions.literals import name
+
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """One row per key, the first by ``order``; null keys count as equal.
@@ -19,24 +21,27 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
     return df.withColumn("_rn", F.row_number().over(first)).where("_rn = 1").drop("_rn")
 
 
-def row_copies(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Each distinct row with its number of copies in ``_n``.
-
-    Texts over 64 characters are grouped by digest, so long documents are not
-    shuffled; columns named in ``keep`` stay as they are.
-    """
-    cols = [
-        F.when(F.length(f.name) > 64, F.sha2(F.col(f.name), 256)).otherwise(F.col(f.name)).alias(f.name)
-        if isinstance(f.dataType, T.StringType) and f.name not in keep
-        else F.col(f.name)
-        for f in df.schema.fields
-    ]
-    return df.select(*cols).groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+def row_digest(df: DataFrame) -> Column:
+    """SHA-256 of a row's values; equal rows have equal digests, nulls and texts kept apart."""
+    values = []
+    for f in df.schema.fields:
+        c = name(f.name)
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+            c = f"{c} + 0.0D"  # -0.0 equals 0.0
+        text = f"hex({c})" if isinstance(f.dataType, T.BinaryType) else f"CAST({c} AS STRING)"
+        values.append(f"{text} AS {name(f.name)}")
+    return F.expr(f"unhex(sha2(to_json(struct({', '.join(values)})), 256))")
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
-    """Row count and extra copies of full rows, nulls equal."""
-    return row_copies(df).agg(
+    """Row count and extra copies of full rows, nulls equal.
+
+    Copies fold on the map side; a few fixed-width columns are grouped as they
+    are, anything wider by a 32-byte digest, so long texts are never shuffled.
+    """
+    narrow = len(df.columns) <= 4 and all(isinstance(f.dataType, T.NumericType) for f in df.schema.fields)
+    copies = df.groupBy(*df.columns) if narrow else df.groupBy(row_digest(df).alias("_digest"))
+    return copies.agg(F.count(F.lit(1)).alias("_n")).agg(
         F.coalesce(F.sum("_n"), F.lit(0)).alias("total_rows"),
         F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicate_rows"),
     )

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketry.functions.literals import lines, name, quoted
+
 
 class IntegrityError(ValueError):
     """A table broke a declared constraint."""
@@ -23,9 +25,9 @@ def primary_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, n_null) of the declared columns that hold nulls, from one pass."""
-    counted = df.agg(*(F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(columns)))
-    lines = [F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("n_null")) for i, c in enumerate(columns)]
-    return counted.select(F.inline(F.array(*lines))).where("n_null > 0")
+    counted = df.agg(*(F.expr(f"count_if({name(c)} IS NULL) AS n{i}") for i, c in enumerate(columns)))
+    rows = [[("column", quoted(c)), ("n_null", f"n{i}")] for i, c in enumerate(columns)]
+    return counted.select(lines(rows)).where("n_null > 0")
 
 
 def foreign_key(fact: DataFrame, column: str, dim: DataFrame, dim_key: str) -> DataFrame:
@@ -51,8 +53,8 @@ def conform(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
 def violations(audits: Mapping[str, DataFrame]) -> DataFrame:
     """(audit, n_violations), one row per audit."""
     parts = [
-        df.agg(F.count(F.lit(1)).alias("n_violations")).select(F.lit(name).alias("audit"), "n_violations")
-        for name, df in audits.items()
+        df.agg(F.count(F.lit(1)).alias("n_violations")).select(F.lit(audit).alias("audit"), "n_violations")
+        for audit, df in audits.items()
     ]
     out = parts[0]
     for part in parts[1:]:
@@ -66,9 +68,3 @@ def require_clean(audits: Mapping[str, DataFrame]) -> None:
     if broken:
         raise IntegrityError("; ".join(f"{r.audit}: {r.n_violations}" for r in broken))
 
-
-def any_null(columns: Sequence[str]) -> Column:
-    out = F.lit(False)
-    for c in columns:
-        out = out | F.col(c).isNull()
-    return out

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.functions import coercion
+from basketry.functions.temporal import DATE_FORMAT
 from basketry.operators import (
     aggregates, dedup, encode, evaluate, feature_store, holdout, impute, integrity, profile, quality, recommend, tfidf,
 )
@@ -148,8 +149,7 @@ def extract_rating(spark, d):
 def range_violations(spark, d):
     tables = {"reviews": view(spark, d, "v_dirty")}
     tables.update({n: view(spark, d, DATASET_VIEWS[n]) for n in ("users", "products", "sessions")})
-    reports = [quality.quality_report(df, DATASETS[n]) for n, df in tables.items()]
-    return union(reports).where("check = 'range'").select("dataset", "column", "n_bad")
+    return union([quality.rule_counts(df, DATASETS[n], "range") for n, df in tables.items()])
 
 
 @query
@@ -164,8 +164,7 @@ def null_profile(spark, d):
 
 @query
 def required_nulls(spark, d):
-    reports = [quality.quality_report(df, DATASETS[n]) for n, df in dataset_views(spark, d).items()]
-    return union(reports).where("check = 'required'").select("dataset", "column", "n_bad")
+    return union([quality.rule_counts(df, DATASETS[n], "required") for n, df in dataset_views(spark, d).items()])
 
 
 @query
@@ -242,7 +241,7 @@ USER_ORDER = ("age", "gender", "membership", "customer_segment", "email", "signu
 
 
 def users_ready(spark, d):
-    return prepare.prepare_users(view(spark, d, "v_users"), USER_ORDER)
+    return prepare.prepare_users(view(spark, d, "v_users"), USER_ORDER, DATE_FORMAT)
 
 
 @query

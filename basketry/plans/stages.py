@@ -59,7 +59,8 @@ def prepare_all(spark: SparkSession, lake: str) -> list[str]:
     done = zones.existing(spark, f"{lake}/validated", PREPARERS)
     for name in done:
         df = zones.read_table(spark, f"{lake}/validated", name)
-        zones.write_table(PREPARERS[name](df, [SEQ]).drop(SEQ), f"{lake}/processed", name)
+        order = [SEQ] if SEQ in df.columns else [c for c in df.columns if c != DATASETS[name].key]
+        zones.write_table(PREPARERS[name](df, order).drop(SEQ), f"{lake}/processed", name)
     return done
 
 
