@@ -7,6 +7,8 @@ from math import log2
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketry.functions.literals import doubles
+
 USER, PRODUCT = "user_id", "product_id"
 
 
@@ -14,19 +16,22 @@ def user_metrics(test: DataFrame, recommendations: DataFrame, k: int = 5) -> Dat
     """(user, precision, recall, ndcg) of each test user who has a list.
 
     Precision divides by the list's length; the ideal gain counts min(true, k) places.
+    Listed and held-out pairs are stacked and folded, per pair and then per user:
+    no join, and no user's pairs in one task before they are folded.
     """
-    truth = test.where(F.col(USER).isNotNull()).select(USER, PRODUCT).distinct()
-    n_true = truth.groupBy(USER).agg(F.count(F.lit(1)).alias("n_true"))
-    lists = recommendations.where(F.col("rank") <= k).join(n_true.select(USER), USER, "left_semi")
-    hits = lists.join(truth.withColumn("hit", F.lit(1)), [USER, PRODUCT], "left")
-    per_user = hits.groupBy(USER).agg(
-        F.count(F.lit(1)).alias("n_listed"),
-        F.coalesce(F.sum("hit"), F.lit(0)).alias("n_hits"),
-        F.coalesce(F.sum(F.col("hit") / F.log2(F.col("rank") + 1)), F.lit(0.0)).alias("dcg"),
+    held = test.where(F.col(USER).isNotNull()).select(USER, PRODUCT, F.lit(None).cast("int").alias("rank"), F.lit(1).alias("true"))
+    listed = recommendations.where(F.col("rank") <= k).select(USER, PRODUCT, "rank", F.lit(0).alias("true"))
+    pairs = held.unionByName(listed).groupBy(USER, PRODUCT).agg(F.min("rank").alias("rank"), F.max("true").alias("true"))
+    gain = F.when(F.col("true") == 1, 1 / F.log2(F.col("rank") + 1))  # null when not listed
+    per_user = pairs.groupBy(USER).agg(
+        F.count("rank").alias("n_listed"),
+        F.sum("true").alias("n_true"),
+        F.count(gain).alias("n_hits"),
+        F.coalesce(F.sum(gain), F.lit(0.0)).alias("dcg"),
     )
-    ideal = [sum(1 / log2(r + 2) for r in range(n)) for n in range(1, k + 1)]
-    best = F.element_at(F.lit(ideal), F.least("n_true", F.lit(k)).cast("int"))
-    return per_user.join(n_true, USER).select(
+    ideal = doubles([sum(1 / log2(r + 2) for r in range(n)) for n in range(1, k + 1)])
+    best = F.element_at(ideal, F.least("n_true", F.lit(k)).cast("int"))
+    return per_user.where("n_listed > 0 AND n_true > 0").select(
         USER,
         (F.col("n_hits") / F.col("n_listed")).alias("precision"),
         (F.col("n_hits") / F.col("n_true")).alias("recall"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
@@ -61,6 +61,7 @@ def write_features(rows: DataFrame, path: str) -> None:
     spark = rows.sparkSession
     stored = read_features(spark, path)
     if stored is not None:
+        rows = materialize(rows, "new-features")
         touched = rows.select("feature_view", "feature_version").distinct()
         versions = [tuple(r) for r in touched.collect()]  # one row per view and version written
         hit = F.lit(False)
@@ -92,10 +93,13 @@ def lookup_version(store: DataFrame, version: str, view: str | None = None, enti
 
 
 def lookup_latest(store: DataFrame, view: str | None = None, entity: str | None = None) -> DataFrame:
-    """Each entity's rows of its last materialisation, whichever version that wrote."""
-    rows = _narrow(store, view, entity)
-    newest = rows.groupBy("feature_view", "entity_id").agg(F.max("materialized_at").alias("materialized_at"))
-    return rows.join(newest, ["feature_view", "entity_id", "materialized_at"]).select(*COLUMNS[:5])
+    """Each entity's rows of its last materialisation, whichever version that wrote.
+
+    The rank filter works before the shuffle too, so older versions stay where they are.
+    """
+    newest = Window.partitionBy("feature_view", "entity_id").orderBy(F.desc("materialized_at"))
+    rows = _narrow(store, view, entity).withColumn("_age", F.rank().over(newest)).where("_age = 1")
+    return rows.select(*COLUMNS[:5])
 
 
 def wide_features(rows: DataFrame, view: FeatureView) -> DataFrame:

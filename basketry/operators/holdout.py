@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketry.session import materialize
+
 
 def last_interactions(df: DataFrame, user: str, time: str, key: str) -> DataFrame:
     """The last row of every user with at least two, by (time, key), nulls earliest.
@@ -30,6 +32,7 @@ def holdout_split(df: DataFrame, user: str, time: str, key: str) -> DataFrame:
 
 
 def train_test(df: DataFrame, user: str, time: str, key: str) -> tuple[DataFrame, DataFrame]:
-    """(all rows but the held out, the held out)."""
-    flagged = holdout_split(df, user, time, key)
-    return flagged.where("NOT is_test").drop("is_test"), last_interactions(df, user, time, key)
+    """(all rows but the held out, the held out). The held-out rows, one per user, are stored once."""
+    test = materialize(last_interactions(df, user, time, key), "held-out")
+    held = test.select(F.col(key).alias("_held"))
+    return df.join(held, df[key].eqNullSafe(held["_held"]), "left_anti"), test

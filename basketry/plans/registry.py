@@ -513,7 +513,6 @@ def eval_ndcg(spark, d):
 def eval_report(spark, d):
     users, items = view(spark, d, "v_users"), materialize(catalogue(spark, d), "catalogue")
     train, test = holdout.train_test(view(spark, d, "v_interactions"), "user_id", "review_date", "review_id")
-    train, test = materialize(train, "train"), materialize(test, "test")
     lists = {
         "popularity": recommend.recommend_popular(users, items, 20),
         "content_tfidf": recommend.recommend_content(users, items, train, 20, item_model(spark, d)),

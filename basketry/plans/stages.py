@@ -103,18 +103,15 @@ def train(spark: SparkSession, lake: str, run_id: str, k: int = 5) -> DataFrame:
     t = zones.require_tables(spark, f"{lake}/warehouse", TRAIN_INPUTS)
     dated = t["fact_interactions"].withColumn("review_date", F.col("review_date").try_cast("timestamp"))
     kept, held = holdout.train_test(dated, "user_id", "review_date", "review_id")
-    zones.write_table(held, f"{lake}/training", "test")
-    zones.write_table(kept, f"{lake}/training", "train")
-    split = zones.require_tables(spark, f"{lake}/training", ["train", "test"])
-    if split["test"].isEmpty():
+    if held.isEmpty():
         raise ValueError("no user has two interactions, so nothing can be held out")
-    content = recommend.recommend_content(t["dim_users"], t["dim_products"], split["train"], k)
+    content = recommend.recommend_content(t["dim_users"], t["dim_products"], kept, k)
     zones.write_table(content, f"{lake}/recommendations", "content")
     lists = {
         "popularity": recommend.recommend_popular(t["dim_users"], t["dim_products"], k),
         "content_tfidf": spark.read.parquet(f"{lake}/recommendations/content"),
     }
-    report = evaluate.compare_models(split["test"], lists, k)
+    report = evaluate.compare_models(held, lists, k)
     zones.write_table(report, f"{lake}/reports", "evaluation")
     report = spark.read.parquet(f"{lake}/reports/evaluation")
     evaluate.metric_rows(report, run_id).write.mode("append").parquet(f"{lake}/reports/metrics")
