@@ -57,6 +57,16 @@ def compare_models(test: DataFrame, lists: dict[str, DataFrame], k: int = 5) ->
     return out
 
 
+def run_summary(train: DataFrame, test: DataFrame, run_id: str, k: int) -> DataFrame:
+    """One row about a training run: (run_id, strategy, top_k, n_train, n_test, n_test_users)."""
+    held = test.agg(F.count(F.lit(1)).alias("n_test"), F.count_distinct(USER).alias("n_test_users"))
+    kept = train.agg(F.count(F.lit(1)).alias("n_train")).scalar()
+    return held.select(
+        F.lit(run_id).alias("run_id"), F.lit("per-user holdout").alias("strategy"), F.lit(k).alias("top_k"),
+        kept.alias("n_train"), "n_test", "n_test_users",
+    )
+
+
 def metric_rows(report: DataFrame, run_id: str) -> DataFrame:
     """A model report as log rows (run_id, model, k, metric, value), to append."""
     long = report.unpivot(["model", "k"], ["precision", "recall", "ndcg"], "metric", "value")

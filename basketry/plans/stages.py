@@ -115,9 +115,19 @@ def train(spark: SparkSession, lake: str, run_id: str, k: int = 5) -> DataFrame:
     zones.write_table(report, f"{lake}/reports", "evaluation")
     report = spark.read.parquet(f"{lake}/reports/evaluation")
     evaluate.metric_rows(report, run_id).write.mode("append").parquet(f"{lake}/reports/metrics")
+    evaluate.run_summary(kept, held, run_id, k).write.mode("append").parquet(f"{lake}/reports/runs")
+    # One row per model: the same report for readers without Spark.
+    report.coalesce(1).write.mode("overwrite").json(f"{lake}/reports/evaluation_json")
+    report.coalesce(1).write.mode("overwrite").csv(f"{lake}/reports/evaluation_csv", header=True)
     return report
 
 
+def recommend_for(spark: SparkSession, lake: str, requests: DataFrame, k: int = 5) -> DataFrame:
+    """The stored content lists of the requested users; needs an earlier ``train``."""
+    stored = zones.require_tables(spark, f"{lake}/recommendations", ["content"])["content"]
+    return recommend.lookup(requests, stored, k)
+
+
 def audit_stages(spark: SparkSession, lake: str) -> DataFrame:
     """Measured lineage: counts, keys and content hash of each dataset in each zone that has it."""
     found = []

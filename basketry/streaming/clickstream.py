@@ -31,7 +31,7 @@ def prepare_events(events: DataFrame, codes: DataFrame, delay: str = "1 hour", f
     timed = cleaned.where(F.col("event_timestamp").isNotNull()).withWatermark("event_timestamp", delay)
     unique = timed.dropDuplicatesWithinWatermark(["event_id"])
     unique = unique.unionByName(cleaned.where(F.col("event_timestamp").isNull()))
-    joined = unique.join(F.broadcast(codes), unique["event_type"] == codes["value"], "left")
+    joined = unique.join(codes, unique["event_type"] == codes["value"], "left")
     return joined.withColumn("event_type_encoded", F.coalesce("code", F.lit(-1)).cast("int")).drop("value", "code")
 
 

@@ -109,6 +109,12 @@ def test_warehouse_features_and_training(spark, prepared):
     stored = spark.read.parquet(f"{prepared}/recommendations/content")
     assert stored.groupBy("user_id").count().where("count != 5").isEmpty() and stored.select("user_id").distinct().count() == 20
     assert spark.read.parquet(f"{prepared}/reports/metrics").count() == 6
+    assert rows(spark.read.parquet(f"{prepared}/reports/runs")) == [("run1", "per-user holdout", 5, 45, 15, 15)]
+    assert spark.read.json(f"{prepared}/reports/evaluation_json").count() == 2
+    asked = spark.createDataFrame([("u3",), ("nobody",)], "user_id string")
+    assert [r.rank for r in stages.recommend_for(spark, prepared, asked, 2).orderBy("rank").collect()] == [1, 2]
+    with pytest.raises(FileNotFoundError):
+        stages.recommend_for(spark, work_path(spark, "lake"), asked)
     audit = {(r.track, r.stage): (r.n_rows, r.n_keys) for r in stages.audit_stages(spark, prepared).collect()}
     assert audit[("users", "processed")] == (20, 20) and audit[("fact_interactions", "warehouse")] == (60, 60)
 
