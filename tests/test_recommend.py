@@ -82,7 +82,9 @@ def brute_force(products, users, history, popular, k):
 
 
 @pytest.mark.parametrize("k", [2, 4])
-def test_content_lists_against_brute_force(spark, shop, k):
+@pytest.mark.parametrize("broadcast_bytes", [0, 1 << 26])
+def test_content_lists_against_brute_force(spark, shop, monkeypatch, broadcast_bytes, k):
+    monkeypatch.setattr(scoring, "BROADCAST_BYTES", broadcast_bytes)
     products, users, history = shop
     lists = rows(recommend.recommend_content(users, products, history, k), "user_id", "rank")
     got = {}
@@ -126,7 +128,9 @@ def test_similar_items(spark, shop):
     assert got[("p1", 1)] == "p2" and got[("p3", 1)] == "p4" and ("p5", 1) in got
 
 
-def test_top_scores_over_many_blocks(spark, monkeypatch):
+@pytest.mark.parametrize("broadcast_bytes", [0, 1 << 26])
+def test_top_scores_over_many_blocks(spark, monkeypatch, broadcast_bytes):
+    monkeypatch.setattr(scoring, "BROADCAST_BYTES", broadcast_bytes)
     monkeypatch.setattr(scoring, "ITEM_BLOCK", 40)
     monkeypatch.setattr(scoring, "QUERY_BLOCK", 10)
     monkeypatch.setattr(scoring, "DENSE_ITEMS", 16)
