@@ -7,7 +7,6 @@ from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.errors import PySparkException
 
 from basketry.sources.files import payload_item_count, read_csv
 from basketry.specs import DatasetSpec
@@ -63,8 +62,8 @@ def ingest(
             seen = Observation()
             land(source.observe(seen, F.count(F.lit(1)).alias("n")), f"{raw_root}/{name}", date)
             rows.append((name, True, int(seen.get["n"]), None))
-        except (PySparkException, OSError) as error:
-            rows.append((name, False, 0, str(error).splitlines()[0]))
+        except Exception as error:  # whatever stops one source must not stop the others
+            rows.append((name, False, 0, str(error).split("\n")[0]))
     return spark.createDataFrame(rows, "dataset string, ok boolean, n_rows long, error string")
 
 
