@@ -81,3 +81,29 @@ def binary_column(blobs: Iterable[bytes]) -> pa.Array:
 def unsigned(x: Column) -> Column:
     """The low 32 bits of an integer, as a long."""
     return x.cast("long").bitwiseAND(F.lit(0xFFFFFFFF).cast("long"))
+
+
+class KeyFilter:
+    """A bit for each hash of a set of keys: says no only to keys that are not in it. Its size is fixed."""
+
+    def __init__(self, bits: np.ndarray) -> None:
+        self.bits = bits
+
+    def may_hold(self, keys: np.ndarray) -> np.ndarray:
+        at = keys.astype(np.uint64) >> np.uint64(64 - (8 * len(self.bits)).bit_length() + 1)
+        return (self.bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
+_BITMAP = 32768  # bits of one bitmap of Spark's bitmap functions
+
+
+def key_filter(keys: DataFrame, column: str, log2_bits: int) -> KeyFilter:
+    """The filter of a column of mixed 64-bit keys; at most 2**log2_bits bits reach the driver."""
+    at = F.shiftrightunsigned(F.col(column), 64 - log2_bits) + 1
+    maps = keys.groupBy(F.bitmap_bucket_number(at).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("m"))
+    bits = np.zeros((1 << log2_bits) // 8, np.uint8)
+    for r in maps.toLocalIterator():
+        first = (r["k"] - 1) * _BITMAP // 8
+        part = np.frombuffer(r["m"], np.uint8)
+        bits[first : first + len(part)] = part
+    return KeyFilter(bits)

@@ -10,8 +10,8 @@ _SPACES = r"[\x20\x09-\x0D]+"
 SQL["op6_quality_rules"] = rf"""
 WITH d AS (
   SELECT doc_id, lang, source, coalesce(text, '') AS t,
-         list_filter(regexp_split_to_array(coalesce(text, ''), '{_SPACES}'), x -> x <> '') AS w,
-         list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+         [x FOR x IN regexp_split_to_array(coalesce(text, ''), '{_SPACES}') IF x <> ''] AS w,
+         [x FOR x IN string_split(coalesce(text, ''), chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS l
   FROM documents
 ), win AS (
   SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS g
@@ -22,7 +22,7 @@ WITH d AS (
   SELECT doc_id, count(DISTINCT k) AS n FROM (SELECT doc_id, unnest(range(i, i + 5)) AS k FROM twice) GROUP BY doc_id
 ), m AS (
   SELECT d.doc_id, lang, source, len(w)::BIGINT AS n_words,
-         coalesce(list_sum(list_transform(w, x -> length(x))), 0)::BIGINT AS word_chars,
+         coalesce(list_sum([length(x) FOR x IN w]), 0)::BIGINT AS word_chars,
          (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
          len(l)::BIGINT AS n_lines, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines,
          coalesce(rep.n, 0)::BIGINT AS n_repeat_words
