@@ -107,3 +107,24 @@ def key_filter(keys: DataFrame, column: str, log2_bits: int) -> KeyFilter:
         part = np.frombuffer(r["m"], np.uint8)
         bits[first : first + len(part)] = part
     return KeyFilter(bits)
+
+
+def split_by_keys(rows: DataFrame, keys: DataFrame, column: str, log2_bits: int = 24) -> tuple[DataFrame, DataFrame]:
+    """``rows`` whose ``column`` (long) may be among that of ``keys``, and those where it is not for certain.
+
+    By a broadcast filter of fixed size, so that a join with few keys need not shuffle
+    all rows. The first part still has to be joined.
+    """
+    name = fresh("__hash", rows.columns)
+    sent = rows.sparkSession.sparkContext.broadcast(key_filter(keys.select(F.xxhash64(column).alias("h")), "h", log2_bits))
+    schema = rows.schema
+
+    def part(wanted: bool) -> DataFrame:
+        def run(batches):
+            for b in batches:
+                held = sent.value.may_hold(b.column(name).to_numpy().view(np.uint64))
+                yield b.select(schema.names).filter(pa.array(held == wanted))
+
+        return rows.withColumn(name, F.xxhash64(column)).mapInArrow(run, schema)
+
+    return part(True), part(False)

@@ -32,14 +32,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.llm.common import binary_column, fresh, map_words
+from basketry.llm.common import binary_column, fresh, map_words, split_by_keys
 from basketry.llm.graph import components
 from basketry.llm.words import LOWER, Words, mix
 from basketry.session import materialize
 
 SHINGLE = 5
 GROUPS = 64
-SKETCH_BITS = 22
+SKETCH_BITS = 20
 SKETCH_SHARDS = 64
 BLOCK = 4096
 _LEAF, _FAN = 32, 16
@@ -158,29 +158,58 @@ def _bounded(pairs: DataFrame, points: DataFrame) -> DataFrame:
     return pairs.select("a", "b", "na", "nb", "pa", "pb").mapInArrow(run, "a long, b long")
 
 
+def _fine(keys: np.ndarray) -> bytes:
+    """The point of one set in about a quarter as many groups as it has members."""
+    bits = max(6, (len(keys) // 4).bit_length())
+    return np.bincount((keys >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits).astype("<u2" if len(keys) < 65536 else "<u4").tobytes()
+
+
+def _fine_bound(a: bytes, na: int, b: bytes, nb: int) -> int:
+    """Summed coordinate minima; the point with more groups is folded."""
+    x, y = (np.frombuffer(p, "<u2" if n < 65536 else "<u4").astype(np.int64) for p, n in ((a, na), (b, nb)))
+    size = min(len(x), len(y))
+    return int(np.minimum(x.reshape(size, -1).sum(1), y.reshape(size, -1).sum(1)).sum())
+
+
 def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs whose sets link, each once."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    """The pairs whose sets link, each once. Finer points are compared before whole sets are."""
+    ids = materialize(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "pair_ids")
 
     def emit(ids_: np.ndarray, words: Words) -> list:
         docs_, keys = shingles(words)
         first = np.searchsorted(docs_, np.arange(len(ids_) + 1))
-        return [ids_, binary_column(keys[a:b].tobytes() for a, b in zip(first, first[1:], strict=False))]
+        own = [keys[a:b] for a, b in zip(first, first[1:], strict=False)]
+        return [ids_, pa.array([len(k) for k in own], pa.int64()), binary_column(map(_fine, own)), binary_column(k.tobytes() for k in own)]
 
-    sets = map_words(docs.join(ids, "doc_id", "left_semi"), "doc_id", "text", "doc_id long, keys binary", emit, lower=LOWER)
+    texts = split_by_keys(docs.select("doc_id", "text"), ids, "doc_id")[0].join(ids, "doc_id", "left_semi")
+    sets = map_words(texts, "doc_id", "text", "doc_id long, n long, fine binary, keys binary", emit, lower=LOWER)
     sets = materialize(sets, "sets")
     for x in ("a", "b"):
-        pairs = pairs.join(sets.select(F.col("doc_id").alias(x), F.col("keys").alias(f"k{x}")), x)
+        pairs = pairs.join(sets.select(F.col("doc_id").alias(x), F.col("n").alias(f"n{x}"), F.col("fine").alias(f"f{x}")), x)
 
-    def run(batches):
+    def bound(batches):
+        for batch in batches:
+            columns = [batch.column(c) for c in ("fa", "na", "fb", "nb")]
+            ok = [
+                n.as_py() > 0 and bool(may_link(_fine_bound(x.as_py(), n.as_py(), y.as_py(), m.as_py()), n.as_py(), m.as_py()))
+                for x, n, y, m in zip(*columns, strict=True)
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    left = pairs.select("a", "b", "na", "nb", "fa", "fb").mapInArrow(bound, "a long, b long")
+    left = materialize(left.distinct(), "bounded_pairs")
+    for x in ("a", "b"):
+        left = left.join(sets.select(F.col("doc_id").alias(x), F.col("keys").alias(f"k{x}")), x)
+
+    def verify(batches):
         for batch in batches:
             ok = []
             for x, y in zip(batch.column("ka"), batch.column("kb"), strict=True):
                 s, t = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                ok.append(len(s) > 0 and bool(may_link(np.intersect1d(s, t, assume_unique=True).size, len(s), len(t))))
+                ok.append(bool(may_link(np.intersect1d(s, t, assume_unique=True).size, len(s), len(t))))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    return pairs.select("a", "b", "ka", "kb").mapInArrow(run, "a long, b long").distinct()
+    return left.select("a", "b", "ka", "kb").mapInArrow(verify, "a long, b long").distinct()
 
 
 class RTree:
@@ -292,9 +321,13 @@ def linked_components(docs: DataFrame) -> DataFrame:
     known = docs.where(F.col("doc_id").isNotNull())
     features = materialize(feature_table(known, frequent_shingles(known)), "features")
     fingerprint = ["n", "f1", "f2"]
-    classes = materialize(features.groupBy(*fingerprint).agg(F.min("doc_id").alias("rep")), "classes")
-    # A doc_id on several rows can stand for several classes; the copy links below join them.
-    chosen = features.join(classes.select(F.col("rep").alias("doc_id"), *fingerprint), ["doc_id", *fingerprint], "left_semi").dropDuplicates(["doc_id", *fingerprint])
+    classes = features.groupBy(*fingerprint).agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last")).where("rep < last")
+    # Most sets are of one document: only those that may be a copy's are looked up.
+    copies = features.join(classes, fingerprint).where("doc_id <> rep").select("doc_id", *fingerprint, "rep")
+    copies = materialize(copies, "copies")
+    unsure, single = split_by_keys(features.select("doc_id", *fingerprint, "prefix"), copies, "doc_id")
+    unsure = unsure.join(copies, ["doc_id", *fingerprint], "left_anti").dropDuplicates(["doc_id", *fingerprint])
+    chosen = single.unionByName(unsure)
     cell = Window.partitionBy("token")
     cells = _prefix_rows(chosen).select("token", "doc", F.min("doc").over(cell).alias("pivot"), F.count("doc").over(cell).alias("members"))
     cells = materialize(cells.where("members > 1"), "cells")
@@ -321,8 +354,7 @@ def linked_components(docs: DataFrame) -> DataFrame:
     pairs = materialize(pairs, "cell_pairs")
     more = _verified(pairs, known)
 
-    copies = features.join(classes, fingerprint).select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-    whole = components(links.unionByName(more).unionByName(copies.where("a <> b")))
+    whole = components(links.unionByName(more).unionByName(copies.select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))))
     # One row for each row of docs: those with words from the features, the others with an empty set.
     blank = ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
     empty = docs.where(blank & F.col("doc_id").isNotNull()).select("doc_id", F.lit(0).cast("long").alias("n_shingles"))
