@@ -3,6 +3,8 @@
 A window is ``window`` consecutive words of one document. Words covered by a window
 whose word sequence also starts in a document with a smaller doc_id are removed.
 
+0. Documents with equal word sequences are one class. All of its members but the smallest
+   lose every word, if they have a window at all; they take no part in what follows.
 1. Candidate phrases: of the ``phrase``-word phrases of each window the one with the smallest
    key (about 1 of 20 phrases). Two documents that share a window share its phrase.
    Phrases found in two documents are confirmed by one aggregate.
@@ -30,8 +32,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from basketry.llm.common import KeyFilter, key_filter, map_words
+from basketry.llm.common import KeyFilter, key_filter, map_words, small_batches, split_by_keys
 from basketry.llm.words import SPACE, Words, find_words, text_chunks
 from basketry.session import materialize
 
@@ -105,8 +108,24 @@ def locate(words: Words, known: KeyFilter, window: int, phrase: int) -> tuple[np
     return np.flatnonzero(inside & (np.arange(len(inside)) <= limit)), text, begins, ends
 
 
+def _sequences(docs: DataFrame, extra: list[str]) -> DataFrame:
+    """doc_id, n_words, sha (of the words, one space between) and the columns ``extra``."""
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_words", T.LongType()), T.StructField("sha", T.StringType()), *(docs.schema[c] for c in extra)])
+
+    def run(batches):
+        for batch in batches:
+            for a, b, data, offsets in text_chunks(batch.column(1)):
+                words = find_words(data, offsets, SPACE)
+                text, begins, ends = _normalized(words)
+                shas = [sha256(text[begins[x] : ends[y - 1]] if y > x else b"").hexdigest() for x, y in zip(words.first, words.first[1:], strict=False)]
+                kept = [batch.column(c)[a:b] for c in extra]
+                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], pa.array(words.counts, pa.int64()), pa.array(shas, pa.string()), *kept], names=schema.names)
+
+    return docs.select("doc_id", "text", *[c for c in extra if c != "text"]).mapInArrow(run, schema)
+
+
 def _candidates(docs: DataFrame, known: KeyFilter, window: int, phrase: int, keep_text: bool) -> DataFrame:
-    """A row per document: n_words, sha256 of its words; for one with candidate windows also text, first words and keys."""
+    """A row per document: n_words, sha of its words; for one with candidate windows also text, first words and keys."""
     sent = docs.sparkSession.sparkContext.broadcast(known)
     schema = "doc_id long, n_words long, sha string, text binary, starts binary, keys binary"
 
@@ -132,7 +151,7 @@ def _candidates(docs: DataFrame, known: KeyFilter, window: int, phrase: int, kee
                 arrays = [ids[a:b], pa.array(words.counts, pa.int64()), *(pa.array(r, k) for r, k in zip(rows, kinds, strict=True))]
                 yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_words", "sha", "text", "starts", "keys"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
 def _windows(found: DataFrame) -> DataFrame:
@@ -154,13 +173,25 @@ def _windows(found: DataFrame) -> DataFrame:
 
 def cut_repeats(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE, keep_text: bool = False) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 and kept (binary: kept words, one space between; null unless ``keep_text``)."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    spark = docs.sparkSession
+    with small_batches(spark, 1000):
+        whole = materialize(_sequences(docs, []), "sequences")
+    classes = whole.groupBy("sha").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
+    copies = whole.join(classes, "sha").where("doc_id > first").select("doc_id", "n_words", "sha")
+    copies = materialize(copies, "copies")
+    maybe, single = split_by_keys(docs.where("doc_id is not null"), copies, "doc_id")
+    others = _sequences(maybe, ["text"]).join(copies, ["doc_id", "sha"], "left_anti").select("doc_id", "text")
+    unnamed = docs.where("doc_id is null")
+    docs = single.unionByName(others)
     confirmed = (
-        phrase_table(docs.where(F.col("doc_id").isNotNull()), window, phrase)
+        phrase_table(docs, window, phrase)
         .groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
     )
     known = key_filter(confirmed, "key", FILTER_BITS)
-    found = _candidates(docs, known, window, phrase, keep_text).withColumn("row", F.monotonically_increasing_id())
-    found = materialize(found, "phrase_windows")
+    found = _candidates(docs.unionByName(unnamed), known, window, phrase, keep_text)
+    with small_batches(spark, 1000):
+        found = materialize(found.withColumn("row", F.monotonically_increasing_id()), "phrase_windows")
     windows = _windows(found)
     owner = windows.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
     marks = windows.join(owner.select("key", "first"), "key").where("doc_id > first")
@@ -188,8 +219,19 @@ def cut_repeats(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE, kee
 
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept binary"
     cut = touched.select("doc_id", "n_words", "sha", "text", "marks").mapInArrow(run, schema)
-    whole = found.where("keys is null").select("doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), F.col("sha").alias("kept_sha256"), F.col("text").alias("kept"))
-    return cut.unionByName(whole)
+    zero = F.lit(0).cast("long")
+    uncut = found.where("keys is null").select("doc_id", "n_words", zero.alias("n_removed"), F.col("sha").alias("kept_sha256"), F.col("text").alias("kept"))
+    gone = F.col("n_words") >= window
+    short = F.lit(None).cast("binary")
+    if keep_text:  # copies of fewer words than a window are kept as the first of them is
+        texts = found.where("doc_id is not null").groupBy("sha").agg(F.min("text").alias("text"))
+        copies = copies.join(texts, "sha", "left")
+        short = F.when(gone, F.lit(b"")).otherwise(F.col("text"))
+    copied = copies.select(
+        "doc_id", "n_words", F.when(gone, F.col("n_words")).otherwise(zero).alias("n_removed"),
+        F.when(gone, F.lit(sha256(b"").hexdigest())).otherwise(F.col("sha")).alias("kept_sha256"), short.alias("kept"),
+    )
+    return cut.unionByName(uncut).unionByName(copied)
 
 
 def digest(docs: DataFrame) -> DataFrame:
