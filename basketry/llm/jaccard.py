@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.llm.common import binary_column, fresh, map_words, split_by_keys
+from basketry.llm.common import binary_column, fresh, map_words, small_batches, split_by_keys
 from basketry.llm.graph import components
 from basketry.llm.words import LOWER, Words, mix
 from basketry.session import materialize
@@ -183,7 +183,8 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
     texts = split_by_keys(docs.select("doc_id", "text"), ids, "doc_id")[0].join(ids, "doc_id", "left_semi")
     sets = map_words(texts, "doc_id", "text", "doc_id long, n long, fine binary, keys binary", emit, lower=LOWER)
-    sets = materialize(sets, "sets")
+    with small_batches(docs.sparkSession, 1000):  # of whole texts
+        sets = materialize(sets, "sets")
     for x in ("a", "b"):
         pairs = pairs.join(sets.select(F.col("doc_id").alias(x), F.col("n").alias(f"n{x}"), F.col("fine").alias(f"f{x}")), x)
 
@@ -197,7 +198,8 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     left = pairs.select("a", "b", "na", "nb", "fa", "fb").mapInArrow(bound, "a long, b long")
-    left = materialize(left.distinct(), "bounded_pairs")
+    with small_batches(docs.sparkSession, 2000):
+        left = materialize(left.distinct(), "bounded_pairs")
     for x in ("a", "b"):
         left = left.join(sets.select(F.col("doc_id").alias(x), F.col("keys").alias(f"k{x}")), x)
 
@@ -209,7 +211,9 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
                 ok.append(bool(may_link(np.intersect1d(s, t, assume_unique=True).size, len(s), len(t))))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    return left.select("a", "b", "ka", "kb").mapInArrow(verify, "a long, b long").distinct()
+    verified = left.select("a", "b", "ka", "kb").mapInArrow(verify, "a long, b long").distinct()
+    with small_batches(docs.sparkSession, 200):  # a row holds two sets
+        return materialize(verified, "verified_pairs")
 
 
 class RTree:
@@ -319,7 +323,8 @@ def linked_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     known = docs.where(F.col("doc_id").isNotNull())
-    features = materialize(feature_table(known, frequent_shingles(known)), "features")
+    with small_batches(docs.sparkSession, 1000):
+        features = materialize(feature_table(known, frequent_shingles(known)), "features")
     fingerprint = ["n", "f1", "f2"]
     classes = features.groupBy(*fingerprint).agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last")).where("rep < last")
     # Most sets are of one document: only those that may be a copy's are looked up.
@@ -335,7 +340,7 @@ def linked_components(docs: DataFrame) -> DataFrame:
     points = features.select("doc_id", "n", "point").dropDuplicates(["doc_id", "n"])
     stars = cells.where("doc > pivot").select(F.col("pivot").alias("a"), F.col("doc").alias("b")).distinct()
     stars = materialize(_bounded(stars, points).distinct(), "star_pairs")
-    links = materialize(_verified(stars, known), "star_links")
+    links = _verified(stars, known)
     label = materialize(components(links), "labels")
 
     # What is left: members of one cell, but its smallest, that are not known to be connected.
