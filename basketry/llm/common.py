@@ -122,14 +122,16 @@ def key_filter(keys: DataFrame, column: str, log2_bits: int) -> KeyFilter:
     return KeyFilter(bits)
 
 
-def split_by_keys(rows: DataFrame, keys: DataFrame, column: str, log2_bits: int = 24) -> tuple[DataFrame, DataFrame]:
-    """``rows`` whose ``column`` (long) may be among that of ``keys``, and those where it is not for certain.
+def split_by_keys(rows: DataFrame, keys: DataFrame | KeyFilter, column: str, log2_bits: int = 24) -> tuple[DataFrame, DataFrame]:
+    """``rows`` whose ``column`` (long) may be among that of ``keys`` (or a filter of its hashes), and those where it is not for certain.
 
     By a broadcast filter of fixed size, so that a join with few keys need not shuffle
     all rows. The first part still has to be joined.
     """
     name = fresh("__hash", rows.columns)
-    sent = rows.sparkSession.sparkContext.broadcast(key_filter(keys.select(F.xxhash64(column).alias("h")), "h", log2_bits))
+    if not isinstance(keys, KeyFilter):
+        keys = key_filter(keys.select(F.xxhash64(column).alias("h")), "h", log2_bits)
+    sent = rows.sparkSession.sparkContext.broadcast(keys)
     schema = rows.schema
 
     def part(wanted: bool) -> DataFrame:

@@ -34,13 +34,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketry.llm.common import KeyFilter, key_filter, map_words, small_batches, split_by_keys
+from basketry.llm.common import KeyFilter, key_filter, small_batches, split_by_keys
 from basketry.llm.words import SPACE, Words, find_words, text_chunks
 from basketry.session import materialize
 
 WINDOW = 50
 PHRASE = 10
 FILTER_BITS = 27
+COPY_FILTER_BITS = 24
 _NONE = np.iinfo(np.uint64).max
 
 
@@ -57,17 +58,31 @@ def _chosen(words: Words, window: int, phrase: int) -> tuple[np.ndarray, np.ndar
     return np.minimum(least[starts], least[starts + width - span]), starts
 
 
-def phrase_table(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE) -> DataFrame:
-    """key, doc_id of the candidate phrases; runs of windows with the same phrase give one row."""
+def _live(batch: pa.RecordBatch, copies: KeyFilter) -> pa.RecordBatch:
+    """The rows that are for certain no copies, or that carry no hash to ask for."""
+    hashes = batch.column("h")
+    sure = hashes.is_null().to_numpy(zero_copy_only=False)
+    return batch.filter(pa.array(sure | ~copies.may_hold(hashes.fill_null(0).to_numpy().view(np.uint64))))
 
-    def emit(ids: np.ndarray, words: Words) -> list:
-        keys, starts = _chosen(words, window, phrase)
-        doc = words.documents_of(starts)
-        new = np.ones(len(keys), bool)
-        new[1:] = (keys[1:] != keys[:-1]) | (doc[1:] != doc[:-1])
-        return [keys[new].view(np.int64), ids[doc[new]]]
 
-    return map_words(docs, "doc_id", "text", "key long, doc_id long", emit)
+def phrase_table(docs: DataFrame, copies: KeyFilter, window: int = WINDOW, phrase: int = PHRASE) -> DataFrame:
+    """key, doc_id of the candidate phrases of (doc_id, text, h); runs of windows with the same phrase give one row."""
+    sent = docs.sparkSession.sparkContext.broadcast(copies)
+
+    def run(batches):
+        for batch in batches:
+            live = _live(batch, sent.value)
+            ids = live.column("doc_id").to_numpy(zero_copy_only=False)
+            for a, b, data, offsets in text_chunks(live.column("text")):
+                words = find_words(data, offsets, SPACE)
+                keys, starts = _chosen(words, window, phrase)
+                doc = words.documents_of(starts)
+                new = np.ones(len(keys), bool)
+                new[1:] = (keys[1:] != keys[:-1]) | (doc[1:] != doc[:-1])
+                columns = [pa.array(keys[new].view(np.int64)), pa.array(ids[a:b][doc[new]], pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["key", "doc_id"])
+
+    return docs.where("doc_id is not null").select("doc_id", "text", "h").mapInArrow(run, "key long, doc_id long")
 
 
 def _normalized(words: Words) -> tuple[bytes, np.ndarray, np.ndarray]:
@@ -124,15 +139,17 @@ def _sequences(docs: DataFrame, extra: list[str]) -> DataFrame:
     return docs.select("doc_id", "text", *[c for c in extra if c != "text"]).mapInArrow(run, schema)
 
 
-def _candidates(docs: DataFrame, known: KeyFilter, window: int, phrase: int, keep_text: bool) -> DataFrame:
+def _candidates(docs: DataFrame, copies: KeyFilter, known: KeyFilter, window: int, phrase: int, keep_text: bool) -> DataFrame:
     """A row per document: n_words, sha of its words; for one with candidate windows also text, first words and keys."""
-    sent = docs.sparkSession.sparkContext.broadcast(known)
+    sc = docs.sparkSession.sparkContext
+    sent, skipped = sc.broadcast(known), sc.broadcast(copies)
     schema = "doc_id long, n_words long, sha string, text binary, starts binary, keys binary"
 
     def run(batches):
         for batch in batches:
-            ids = batch.column(0)
-            for a, b, data, offsets in text_chunks(batch.column(1)):
+            live = _live(batch, skipped.value)
+            ids = live.column("doc_id")
+            for a, b, data, offsets in text_chunks(live.column("text")):
                 words = find_words(data, offsets, SPACE)
                 starts, text, begins, ends = locate(words, sent.value, window, phrase)
                 at, keys = words.windows(window)
@@ -151,7 +168,7 @@ def _candidates(docs: DataFrame, known: KeyFilter, window: int, phrase: int, kee
                 arrays = [ids[a:b], pa.array(words.counts, pa.int64()), *(pa.array(r, k) for r, k in zip(rows, kinds, strict=True))]
                 yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_words", "sha", "text", "starts", "keys"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "text", "h").mapInArrow(run, schema)
 
 
 def _windows(found: DataFrame) -> DataFrame:
@@ -175,22 +192,24 @@ def cut_repeats(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE, kee
     """doc_id, n_words, n_removed, kept_sha256 and kept (binary: kept words, one space between; null unless ``keep_text``)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     spark = docs.sparkSession
-    with small_batches(spark, 1000):
+    with small_batches(spark, 500):  # of whole texts
         whole = materialize(_sequences(docs, []), "sequences")
-    classes = whole.groupBy("sha").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
-    copies = whole.join(classes, "sha").where("doc_id > first").select("doc_id", "n_words", "sha")
-    copies = materialize(copies, "copies")
-    maybe, single = split_by_keys(docs.where("doc_id is not null"), copies, "doc_id")
-    others = _sequences(maybe, ["text"]).join(copies, ["doc_id", "sha"], "left_anti").select("doc_id", "text")
-    unnamed = docs.where("doc_id is null")
-    docs = single.unionByName(others)
-    confirmed = (
-        phrase_table(docs, window, phrase)
-        .groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
-    )
-    known = key_filter(confirmed, "key", FILTER_BITS)
-    found = _candidates(docs.unionByName(unnamed), known, window, phrase, keep_text)
-    with small_batches(spark, 1000):
+        classes = whole.groupBy("sha").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
+        copies = whole.join(classes, "sha").where("doc_id > first").select("doc_id", "n_words", "sha")
+        copies = materialize(copies, "copies")
+        # Texts that are for certain no copies are read in place; the few others are looked up.
+        skipped = key_filter(copies.select(F.xxhash64("doc_id").alias("h")), "h", COPY_FILTER_BITS)
+        maybe = split_by_keys(docs.where("doc_id is not null"), skipped, "doc_id")[0]
+        others = _sequences(maybe, ["text"]).join(copies, ["doc_id", "sha"], "left_anti").select("doc_id", "text")
+        others = materialize(others, "no_copies").unionByName(docs.where("doc_id is null"))
+        docs = docs.where("doc_id is not null").withColumn("h", F.xxhash64("doc_id"))
+        docs = docs.unionByName(others.withColumn("h", F.lit(None).cast("long")))
+        confirmed = (
+            phrase_table(docs, skipped, window, phrase)
+            .groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
+        )
+        known = key_filter(confirmed, "key", FILTER_BITS)
+        found = _candidates(docs, skipped, known, window, phrase, keep_text)
         found = materialize(found.withColumn("row", F.monotonically_increasing_id()), "phrase_windows")
     windows = _windows(found)
     owner = windows.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
