@@ -183,8 +183,7 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
 
     texts = split_by_keys(docs.select("doc_id", "text"), ids, "doc_id")[0].join(ids, "doc_id", "left_semi")
     sets = map_words(texts, "doc_id", "text", "doc_id long, n long, fine binary, keys binary", emit, lower=LOWER)
-    with small_batches(docs.sparkSession, 1000):  # of whole texts
-        sets = materialize(sets, "sets")
+    sets = materialize(sets, "sets")
     for x in ("a", "b"):
         pairs = pairs.join(sets.select(F.col("doc_id").alias(x), F.col("n").alias(f"n{x}"), F.col("fine").alias(f"f{x}")), x)
 
@@ -321,10 +320,14 @@ def _set_sizes(docs: DataFrame) -> DataFrame:
 
 def linked_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
+    with small_batches(docs.sparkSession, 1000):
+        return _linked_components(docs)
+
+
+def _linked_components(docs: DataFrame) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     known = docs.where(F.col("doc_id").isNotNull())
-    with small_batches(docs.sparkSession, 1000):
-        features = materialize(feature_table(known, frequent_shingles(known)), "features")
+    features = materialize(feature_table(known, frequent_shingles(known)), "features")
     fingerprint = ["n", "f1", "f2"]
     classes = features.groupBy(*fingerprint).agg(F.min("doc_id").alias("rep"), F.max("doc_id").alias("last")).where("rep < last")
     # Most sets are of one document: only those that may be a copy's are looked up.
