@@ -11,7 +11,8 @@ whose word sequence also starts in a document with a smaller doc_id are removed.
 2. The confirmed phrases, as a filter of fixed size, go to all tasks. Each task
    compiles the phrases that occur in its shard of documents into an Aho-Corasick
    automaton (pyahocorasick) and streams all documents of the shard through it,
-   which locates every occurrence. Windows that hold an occurrence are candidates.
+   which locates every occurrence. Windows that hold one, and whose own phrase is
+   confirmed, are candidates: no other window can be found in two documents.
 3. The smallest document of each candidate window is found by an aggregate (folded
    before the shuffle) and joined back (hot windows are split by adaptive execution).
 
@@ -100,10 +101,11 @@ def _normalized(words: Words) -> tuple[bytes, np.ndarray, np.ndarray]:
 
 
 def locate(words: Words, known: KeyFilter, window: int, phrase: int) -> tuple[np.ndarray, bytes, np.ndarray, np.ndarray]:
-    """First words of all windows that hold an occurrence of a confirmed phrase; the normalized text and its word bounds."""
+    """First words of all windows that hold an occurrence of a confirmed phrase, their own chosen one being confirmed; the normalized text and its word bounds."""
     text, begins, ends = _normalized(words)
     at, keys = words.windows(phrase)
-    chosen = np.unique(_chosen(words, window, phrase)[0])
+    of_window, starts = _chosen(words, window, phrase)
+    chosen = np.unique(of_window)
     chosen = chosen[known.may_hold(chosen)] if len(chosen) else chosen
     cover = np.zeros(len(words.starts) + 1, np.int64)
     if len(chosen):
@@ -119,8 +121,8 @@ def locate(words: Words, known: KeyFilter, window: int, phrase: int) -> tuple[np
         np.add.at(cover, first, 1)
         np.add.at(cover, hit + 1, -1)
     inside = np.cumsum(cover[:-1]) > 0
-    limit = np.repeat(words.first[1:], words.counts) - window
-    return np.flatnonzero(inside & (np.arange(len(inside)) <= limit)), text, begins, ends
+    own = np.isin(of_window, chosen, kind="sort")
+    return starts[inside[starts] & own], text, begins, ends
 
 
 def _sequences(docs: DataFrame, extra: list[str]) -> DataFrame:
