@@ -28,7 +28,12 @@ def row_digest(df: DataFrame) -> Column:
         c = name(f.name)
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             c = f"{c} + 0.0D"  # -0.0 equals 0.0
-        text = f"hex({c})" if isinstance(f.dataType, T.BinaryType) else f"CAST({c} AS STRING)"
+        if isinstance(f.dataType, T.BinaryType):
+            text = f"hex({c})"
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            text = c  # JSON keeps the elements apart
+        else:
+            text = f"CAST({c} AS STRING)"
         values.append(f"{text} AS {name(f.name)}")
     return F.expr(f"unhex(sha2(to_json(struct({', '.join(values)})), 256))")
 

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from basketry.operators.impute import present
+
 # A dictionary is broadcast only when its estimated size is under this.
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
@@ -71,15 +73,17 @@ def large_dictionary(df: DataFrame, column: str) -> DataFrame:
 
 
 def minmax_scale(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
-    """Scale each column to 0..1 over its range; a constant or empty column gives 0.0.
+    """Scale each column to 0..1 over its range; a constant or empty column gives 0.0. NaN counts as null.
 
     All bounds come from one aggregate row, used as a scalar subquery.
     """
     bounds = df.agg(
-        F.struct(*(F.min(c).alias(f"lo_{c}") for c in columns), *(F.max(c).alias(f"hi_{c}") for c in columns)).alias("b")
+        F.struct(
+            *(F.min(present(c)).alias(f"lo_{c}") for c in columns), *(F.max(present(c)).alias(f"hi_{c}") for c in columns)
+        ).alias("b")
     ).scalar()
     return df.withColumns(
-        {out: scaled(F.col(c), bounds[f"lo_{c}"], bounds[f"hi_{c}"]) for c, out in columns.items()}
+        {out: scaled(present(c), bounds[f"lo_{c}"], bounds[f"hi_{c}"]) for c, out in columns.items()}
     )
 
 

@@ -30,23 +30,30 @@ def distinct_estimates(df: DataFrame, columns: Sequence[str | Column]) -> list[i
     return [int(v) for v in row]
 
 
+def present(column: str) -> Column:
+    """The column with NaN as null."""
+    return F.when(~F.isnan(F.col(column).cast("double")), F.col(column))
+
+
 def median_column(df: DataFrame, column: str, n_distinct: int | None = None) -> Column:
-    """The exact median of ``column`` (null when there is no value), as a column.
+    """The exact median of ``column`` (null when there is no value; NaN is none), as a column.
 
-    With few distinct values it is a scalar subquery; with many it is searched
+    Both ways give the same number. With few distinct values it is a scalar subquery; with many it is searched
     for first and comes back as a literal.
     """
     if n_distinct is None:
         (n_distinct,) = distinct_estimates(df, [column])
     if n_distinct <= MAX_PERCENTILE_VALUES:
-        return df.agg(F.percentile(F.col(column), 0.5).alias("m")).scalar()
+        # Values are counted first, so that one task merges distinct values, not a buffer of every map task.
+        counts = df.select(present(column).alias("x")).where("x IS NOT NULL").groupBy("x").agg(F.count("*").alias("n"))
+        return counts.agg(F.percentile("x", 0.5, F.col("n")).alias("m")).scalar()
     return F.lit(bracketed_median(df, column)).cast("double")
 
 
 def median_impute(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Nulls replaced by the column's exact median; an all-null column stays null."""
+    """Nulls and NaN replaced by the column's exact median; a column without values becomes null."""
     counts = distinct_estimates(df, columns)
-    filled = {c: F.coalesce(F.col(c), median_column(df, c, n)) for c, n in zip(columns, counts)}
+    filled = {c: F.coalesce(present(c), median_column(df, c, n)) for c, n in zip(columns, counts)}
     return df.withColumns(filled)
 
 

@@ -54,7 +54,8 @@ def stage_audit(stages: Iterable[tuple[str, str, DataFrame, str]]) -> DataFrame:
     """Measured lineage: (track, stage, n_rows, n_keys, content_hash) per (track, stage, table, key)."""
     out = None
     for track, stage, df, key in stages:
-        row_hash = F.xxhash64(*df.columns).cast("decimal(38,0)")
+        # xxhash64 passes over nulls, so each value goes in with its null flag.
+        row_hash = F.xxhash64(*(x for c in df.columns for x in (F.col(c).isNull(), F.col(c)))).cast("decimal(38,0)")
         part = df.agg(
             F.count(F.lit(1)).alias("n_rows"), F.count_distinct(key).alias("n_keys"), F.sum(row_hash).alias("content_hash")
         ).select(F.lit(track).alias("track"), F.lit(stage).alias("stage"), "n_rows", "n_keys", "content_hash")

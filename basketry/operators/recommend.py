@@ -23,8 +23,9 @@ def popular_products(products: DataFrame, k: int = 5) -> DataFrame:
 
 def popular_array(products: DataFrame, k: int) -> Column:
     """The same k ids as one array, ranked: a scalar subquery of k elements."""
-    order = F.struct(
-        (-F.col("item_interaction_count")).alias("a"), (-F.col("item_avg_rating")).alias("b"), F.col(PRODUCT).alias("id")
+    count, rating = F.col("item_interaction_count"), F.col("item_avg_rating")
+    order = F.struct(  # a null comes last, as in popular_products
+        count.isNull().alias("a0"), (-count).alias("a"), rating.isNull().alias("b0"), (-rating).alias("b"), F.col(PRODUCT).alias("id")
     )
     ranked = popular_products(products, k).agg(F.array_sort(F.collect_list(order)).alias("r"))
     return ranked.select(F.transform("r", lambda s: s["id"]).alias("ids")).scalar()

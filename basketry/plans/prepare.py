@@ -82,5 +82,6 @@ def clean_events(df: DataFrame, timestamp_format: str | None = None) -> DataFram
 def prepare_clickstream(df: DataFrame, order: Order, timestamp_format: str | None = None) -> DataFrame:
     """Dedup first, then drop unlinked rows, hour, dwell time, event code."""
     first = first_rows(df, "event_id", order)
-    out = clean_events(first, timestamp_format or infer_format(first, "event_timestamp", order))
+    linked = drop_missing(first, ["session_id", "user_id", "product_id"])
+    out = clean_events(first, timestamp_format or infer_format(linked, "event_timestamp", order))
     return label_encode(out, {"event_type": "event_type_encoded"})

@@ -33,8 +33,11 @@ def ingest(spark: SparkSession, sources: Mapping[str, str], lake: str, date: str
     metrics = landing.ingest(spark, sources.items(), f"{lake}/raw", date, DATASETS)
     if payloads is None:
         return metrics
-    n = landing.ingest_payloads(read_payloads(spark, payloads), f"{lake}/external/payloads", date)
-    return metrics.unionByName(spark.createDataFrame([("payloads", True, n, None)], metrics.schema))
+    try:
+        row = ("payloads", True, landing.ingest_payloads(read_payloads(spark, payloads), f"{lake}/external/payloads", date), None)
+    except Exception as error:  # as with any other source, the rest goes on
+        row = ("payloads", False, 0, str(error).split("\n")[0])
+    return metrics.unionByName(spark.createDataFrame([row], metrics.schema))
 
 
 def validate(spark: SparkSession, lake: str) -> tuple[DataFrame, DataFrame]:
@@ -144,12 +147,16 @@ def audit_stages(spark: SparkSession, lake: str) -> DataFrame:
 
 
 def run_all(
-    spark: SparkSession, sources: Mapping[str, str], lake: str, date: str, version: str, at: str, k: int = 5
+    spark: SparkSession, sources: Mapping[str, str], lake: str, date: str, version: str, at: str, k: int = 5, payloads: str | None = None
 ) -> DataFrame:
-    """All stages in order; returns the model report."""
-    ingest(spark, sources, lake, date)
+    """All stages in order; returns the model report. Chart datasets and the stage audit are stored under ``reports``."""
+    ingest(spark, sources, lake, date, payloads)
     validate(spark, lake)
+    for name, chart in explore(spark, lake).items():
+        zones.write_table(chart, f"{lake}/reports", f"chart_{name}")
     prepare_all(spark, lake)
     load_warehouse(spark, lake)
     materialize_features(spark, lake, version, at)
-    return train(spark, lake, run_id=version, k=k)
+    report = train(spark, lake, run_id=version, k=k)
+    zones.write_table(audit_stages(spark, lake), f"{lake}/reports", "stage_audit")
+    return report

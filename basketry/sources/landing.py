@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.sources.files import payload_item_count, read_csv
+from basketry.sources.publish import folders, replace_parquet
 from basketry.specs import DatasetSpec
 
 DATE = "ingest_date"
@@ -21,21 +22,26 @@ def utc_date() -> str:
 def land(df: DataFrame, path: str, date: str | Column | None = None) -> None:
     """Write ``df`` under its date; a date written before is replaced, others stay.
 
-    A fixed date adds no shuffle. A date column is rebalanced first, so that each
-    date gets few files and a heavy date several writers.
+    A fixed date adds no shuffle, and its folder is replaced also by a landing without
+    rows. A date column is rebalanced first, so that each date gets few files and a
+    heavy date several writers.
     """
     if isinstance(date, Column):
         dated = df.withColumn(DATE, date).hint("rebalance", F.col(DATE))
+        dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DATE).parquet(path)
     else:
-        dated = df.withColumn(DATE, F.lit(date or utc_date()))
-    dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DATE).parquet(path)
+        replace_parquet(df, f"{path}/{DATE}={date or utc_date()}")
 
 
 def read_latest(spark: SparkSession, path: str) -> DataFrame:
-    """The rows of the greatest date, without the date column; other dates are not read."""
-    df = spark.read.option("basePath", path).parquet(path).withColumn(DATE, F.col(DATE).cast("string"))
-    newest = df.agg(F.max(DATE).alias("d")).scalar()
-    return df.where(F.col(DATE) == newest).drop(DATE)
+    """The rows of the greatest date as they were landed: with its own columns, without the date.
+
+    The date comes from the folder names; no file of another date is opened.
+    """
+    dates = folders(spark, path, f"{DATE}=")
+    if not dates:
+        raise FileNotFoundError(f"nothing landed under {path}")
+    return spark.read.parquet(f"{path}/{dates[-1]}")
 
 
 def land_payloads(payloads: DataFrame, path: str, date: str | None = None) -> None:

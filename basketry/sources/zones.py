@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
+from basketry.sources.publish import replace_parquet
+
 
 def write_table(df: DataFrame, root: str, name: str) -> None:
-    df.write.mode("overwrite").parquet(f"{root}/{name}")
+    """Replace the table; a job that fails leaves the older one."""
+    replace_parquet(df, f"{root}/{name}")
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame | None:

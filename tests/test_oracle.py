@@ -5,10 +5,11 @@ import os
 import pytest
 
 import __spark_entry__ as entry_points
+from basketry.plans import oracle
 from basketry.plans.adapters import TABLES
+from basketry.plans.registry import QUERIES
 
-QUERIES = entry_points.queries()
-ORACLE = entry_points.oracle_sql()
+ORACLE = oracle.build()
 
 
 @pytest.fixture(scope="module")
