@@ -184,8 +184,11 @@ def digest(docs: DataFrame) -> DataFrame:
 
 
 def filter_documents(docs: DataFrame) -> DataFrame:
-    """The kept rows of ``docs``, columns as they were. Texts are measured twice and never shuffled."""
+    """The kept rows of ``docs``, columns as they were. Rows are written once with their measures and never shuffled.
+
+    (The measures are read back: inlined into several filters they would be evaluated over and over.)
+    """
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "lang", "source", "text")
-    sketches = materialize(sketch(measure(docs.select("lang", "source", "text"), "m"), F.col("m")), "sketch")
-    limits = materialize(bounds(sketches), "bounds")
-    return _judged(measure(rows, "m"), F.col("m"), limits, "kept").where("kept").select("row.*")
+    measured = materialize(measure(rows, "m").select("row", "lang", "source", "m"), "rules")
+    limits = materialize(bounds(materialize(sketch(measured, F.col("m")), "sketch")), "bounds")
+    return _judged(measured, F.col("m"), limits, "kept").where("kept").select("row.*")
