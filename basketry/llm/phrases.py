@@ -14,7 +14,9 @@ whose word sequence also starts in a document with a smaller doc_id are removed.
    which locates every occurrence. Windows that hold one, and whose own phrase is
    confirmed, are candidates: no other window can be found in two documents.
 3. The smallest document of each candidate window is found by an aggregate (folded
-   before the shuffle) and joined back (hot windows are split by adaptive execution).
+   before the shuffle). Windows of two documents are joined back (hot ones are split by
+   adaptive execution), and then the texts that have a word to remove. Filters of fixed
+   size hold back most other rows before both joins.
 
 The filter and the phrases only choose candidates; step 3 decides. Windows are
 compared by 64-bit keys.
@@ -33,7 +35,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from basketry.llm.common import KeyFilter, key_filter, small_batches, split_by_keys
 from basketry.llm.words import SPACE, Words, find_words, text_chunks
@@ -59,14 +60,46 @@ def _chosen(words: Words, window: int, phrase: int) -> tuple[np.ndarray, np.ndar
     return np.minimum(least[starts], least[starts + width - span]), starts
 
 
-def _live(batch: pa.RecordBatch, copies: KeyFilter) -> pa.RecordBatch:
-    """The rows that are for certain no copies, or that carry no hash to ask for."""
-    hashes = batch.column("h")
-    sure = hashes.is_null().to_numpy(zero_copy_only=False)
-    return batch.filter(pa.array(sure | ~copies.may_hold(hashes.fill_null(0).to_numpy().view(np.uint64))))
+class Copies:
+    """The doc_ids of which every row is left out: in the filter of the copies, and not in that of the others found in it.
 
+    Both filters have a fixed size and a doc_id gets the same answer everywhere. A row that is no copy is never
+    left out; a copy that is not left out takes part like any document.
+    """
 
-def phrase_table(docs: DataFrame, copies: KeyFilter, window: int = WINDOW, phrase: int = PHRASE) -> DataFrame:
+    def __init__(self, copies: KeyFilter, others: KeyFilter) -> None:
+        self.copies, self.others = copies, others
+
+    def hold(self, hashes: pa.Array) -> np.ndarray:
+        keys = hashes.fill_null(0).to_numpy().view(np.uint64)
+        known = hashes.is_valid().to_numpy(zero_copy_only=False)
+        return known & self.copies.may_hold(keys) & ~self.others.may_hold(keys)
+
+
+def _live(batch: pa.RecordBatch, copies: Copies) -> pa.RecordBatch:
+    return batch.filter(pa.array(~copies.hold(batch.column("h"))))
+
+
+def _find_copies(whole: DataFrame, copies: DataFrame) -> Copies:
+    """Of (doc_id, sha) of all documents and of the copies; only narrow rows that the first filter holds are joined."""
+    held = key_filter(copies.select(F.xxhash64("doc_id").alias("h")), "h", COPY_FILTER_BITS)
+    maybe = split_by_keys(whole.where("doc_id is not null").select("doc_id", "sha"), held, "doc_id")[0]
+    others = maybe.join(copies.select("doc_id", "sha"), ["doc_id", "sha"], "left_anti")
+    return Copies(held, key_filter(others.select(F.xxhash64("doc_id").alias("h")), "h", COPY_FILTER_BITS))
+
+
+def _left_out(copies: DataFrame, found: Copies) -> DataFrame:
+    sent = copies.sparkSession.sparkContext.broadcast(found)
+    schema = copies.schema
+
+    def run(batches):
+        for batch in batches:
+            yield batch.select(schema.names).filter(pa.array(sent.value.hold(batch.column("h"))))
+
+    return copies.withColumn("h", F.xxhash64("doc_id")).mapInArrow(run, schema)
+
+
+def phrase_table(docs: DataFrame, copies: Copies, window: int = WINDOW, phrase: int = PHRASE) -> DataFrame:
     """key, doc_id of the candidate phrases of (doc_id, text, h); runs of windows with the same phrase give one row."""
     sent = docs.sparkSession.sparkContext.broadcast(copies)
 
@@ -125,23 +158,22 @@ def locate(words: Words, known: KeyFilter, window: int, phrase: int) -> tuple[np
     return starts[inside[starts] & own], text, begins, ends
 
 
-def _sequences(docs: DataFrame, extra: list[str]) -> DataFrame:
-    """doc_id, n_words, sha (of the words, one space between) and the columns ``extra``."""
-    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_words", T.LongType()), T.StructField("sha", T.StringType()), *(docs.schema[c] for c in extra)])
+def _sequences(docs: DataFrame) -> DataFrame:
+    """doc_id, n_words, sha (of the words, one space between)."""
+    names = ["doc_id", "n_words", "sha"]
 
     def run(batches):
         for batch in batches:
-            for a, b, data, offsets in text_chunks(batch.column(1)):
+            for a, b, data, offsets in text_chunks(batch.column("text")):
                 words = find_words(data, offsets, SPACE)
                 text, begins, ends = _normalized(words)
                 shas = [sha256(text[begins[x] : ends[y - 1]] if y > x else b"").hexdigest() for x, y in zip(words.first, words.first[1:], strict=False)]
-                kept = [batch.column(c)[a:b] for c in extra]
-                yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], pa.array(words.counts, pa.int64()), pa.array(shas, pa.string()), *kept], names=schema.names)
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id")[a:b], pa.array(words.counts, pa.int64()), pa.array(shas, pa.string())], names=names)
 
-    return docs.select("doc_id", "text", *[c for c in extra if c != "text"]).mapInArrow(run, schema)
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_words long, sha string")
 
 
-def _candidates(docs: DataFrame, copies: KeyFilter, known: KeyFilter, window: int, phrase: int, keep_text: bool) -> DataFrame:
+def _candidates(docs: DataFrame, copies: Copies, known: KeyFilter, window: int, phrase: int, keep_text: bool) -> DataFrame:
     """A row per document: n_words, sha of its words; for one with candidate windows also text, first words and keys."""
     sc = docs.sparkSession.sparkContext
     sent, skipped = sc.broadcast(known), sc.broadcast(copies)
@@ -173,7 +205,10 @@ def _candidates(docs: DataFrame, copies: KeyFilter, known: KeyFilter, window: in
     return docs.select("doc_id", "text", "h").mapInArrow(run, schema)
 
 
-def _windows(found: DataFrame) -> DataFrame:
+def _windows(found: DataFrame, wanted: KeyFilter | None = None) -> DataFrame:
+    """key, doc_id, row, at of the candidate windows, or of those that the filter ``wanted`` holds."""
+    sent = found.sparkSession.sparkContext.broadcast(wanted)
+
     def run(batches):
         for batch in batches:
             rows, ids = batch.column("row").to_numpy(), batch.column("doc_id").to_numpy()
@@ -181,10 +216,11 @@ def _windows(found: DataFrame) -> DataFrame:
             keys = [np.frombuffer(x.as_py(), np.int64) for x in batch.column("keys")]
             if starts:
                 n = [len(x) for x in starts]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(keys)), pa.array(np.repeat(ids, n)), pa.array(np.repeat(rows, n)), pa.array(np.concatenate(starts))],
-                    names=["key", "doc_id", "row", "at"],
-                )
+                columns = [np.concatenate(keys), np.repeat(ids, n), np.repeat(rows, n), np.concatenate(starts)]
+                if sent.value is not None:
+                    held = sent.value.may_hold(columns[0].view(np.uint64))
+                    columns = [c[held] for c in columns]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "doc_id", "row", "at"])
 
     given = found.where(F.col("keys").isNotNull() & F.col("doc_id").isNotNull()).select("row", "doc_id", "starts", "keys")
     return given.mapInArrow(run, "key long, doc_id long, row long, at int")
@@ -195,17 +231,13 @@ def cut_repeats(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE, kee
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     spark = docs.sparkSession
     with small_batches(spark, 500):  # of whole texts
-        whole = materialize(_sequences(docs, []), "sequences")
+        whole = materialize(_sequences(docs), "sequences")
         classes = whole.groupBy("sha").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
         copies = whole.join(classes, "sha").where("doc_id > first").select("doc_id", "n_words", "sha")
         copies = materialize(copies, "copies")
-        # Texts that are for certain no copies are read in place; the few others are looked up.
-        skipped = key_filter(copies.select(F.xxhash64("doc_id").alias("h")), "h", COPY_FILTER_BITS)
-        maybe = split_by_keys(docs.where("doc_id is not null"), skipped, "doc_id")[0]
-        others = _sequences(maybe, ["text"]).join(copies, ["doc_id", "sha"], "left_anti").select("doc_id", "text")
-        others = materialize(others, "no_copies").unionByName(docs.where("doc_id is null"))
-        docs = docs.where("doc_id is not null").withColumn("h", F.xxhash64("doc_id"))
-        docs = docs.unionByName(others.withColumn("h", F.lit(None).cast("long")))
+        skipped = _find_copies(whole, copies)
+        copies = _left_out(copies, skipped)
+        docs = docs.withColumn("h", F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id")))
         confirmed = (
             phrase_table(docs, skipped, window, phrase)
             .groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
@@ -213,11 +245,18 @@ def cut_repeats(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE, kee
         known = key_filter(confirmed, "key", FILTER_BITS)
         found = _candidates(docs, skipped, known, window, phrase, keep_text)
         found = materialize(found.withColumn("row", F.monotonically_increasing_id()), "phrase_windows")
-    windows = _windows(found)
-    owner = windows.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
-    marks = windows.join(owner.select("key", "first"), "key").where("doc_id > first")
+    owner = _windows(found).groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
+    owner = materialize(owner.select("key", "first"), "window_owners")
+    repeated = _windows(found, key_filter(owner, "key", FILTER_BITS))
+    marks = repeated.join(owner, "key").where("doc_id > first")
     marks = marks.groupBy("row").agg(F.collect_list("at").alias("marks"))  # at most a document's words
-    touched = found.where("keys is not null").drop("starts", "keys").join(marks, "row", "left")
+    marks = materialize(marks, "marks")
+    # Only texts that may have a mark are shuffled.
+    marked = key_filter(marks.select(F.xxhash64("row").alias("h")), "h", COPY_FILTER_BITS)
+    candidates = found.where("keys is not null")
+    touched = split_by_keys(candidates.select("row", "doc_id", "n_words", "sha", "text"), marked, "row")[0].join(marks, "row", "left")
+    carried = ["doc_id", "n_words", "sha", F.col("text") if keep_text else F.lit(None).cast("binary").alias("text")]
+    untouched = split_by_keys(candidates.select("row", *carried), marked, "row")[1].drop("row")
 
     def run(batches):
         for batch in batches:
@@ -239,9 +278,11 @@ def cut_repeats(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE, kee
             )
 
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept binary"
-    cut = touched.select("doc_id", "n_words", "sha", "text", "marks").mapInArrow(run, schema)
+    with small_batches(spark, 500):
+        cut = materialize(touched.select("doc_id", "n_words", "sha", "text", "marks").mapInArrow(run, schema), "cut")
     zero = F.lit(0).cast("long")
-    uncut = found.where("keys is null").select("doc_id", "n_words", zero.alias("n_removed"), F.col("sha").alias("kept_sha256"), F.col("text").alias("kept"))
+    uncut = found.where("keys is null").select(*carried).unionByName(untouched)
+    uncut = uncut.select("doc_id", "n_words", zero.alias("n_removed"), F.col("sha").alias("kept_sha256"), F.col("text").alias("kept"))
     gone = F.col("n_words") >= window
     short = F.lit(None).cast("binary")
     if keep_text:  # copies of fewer words than a window are kept as the first of them is
