@@ -6,7 +6,7 @@ of its rows of the embedding, its class scores are linear in that mean. Since bo
 linear, prediction uses one table of class scores per bucket.
 
 Training takes at most ``PER_LANGUAGE`` labelled rows of a language (those with the
-smallest hash of doc_id) whose text is at most ``MAX_TRAINING_BYTES``. A fifth of them
+smallest hash of doc_id and text, equal rows once) whose text is at most ``MAX_TRAINING_BYTES``. A fifth of them
 sets the temperature and the rejection score, the score that 99 of 100 correctly
 classified calibration texts reach. Prediction reads whole texts.
 
@@ -138,13 +138,15 @@ def _unpack(blob: bytes) -> Model:
 
 def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, max_bytes: int = MAX_TRAINING_BYTES) -> Model | None:
     """A model of the rows (doc_id, text, lang), trained in one task on the bounded sample; None without rows."""
-    rows = labelled.select(F.xxhash64("doc_id").alias("h"), "text", "lang").where(
+    rows = labelled.select(F.xxhash64("doc_id", "text").alias("h"), "text", "lang").where(
         F.col("lang").isNotNull() & (F.octet_length("text") <= max_bytes) & F.col("text").rlike(r"\p{L}")
     )
-    # The hash below which a language has enough rows, from two narrow columns.
+    # Hashes are spread evenly: a language's share of them holds a little over the rows asked for, and only these are ranked.
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
+    limits = counts.select("lang", (F.lit((1.3 * per_language + 200) * 2.0**63) / F.col("n")).alias("below"))
+    near = rows.join(F.broadcast(limits), "lang").where(F.shiftrightunsigned("h", 1) < F.col("below"))
     nth = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    limits = rows.select("lang", "h").withColumn("n", nth).where(F.col("n") <= per_language).groupBy("lang").agg(F.max("h").alias("most"))
-    sample = rows.join(F.broadcast(limits), "lang").where(F.col("h") <= F.col("most")).select("h", "text", "lang")
+    sample = near.dropDuplicates(["lang", "h"]).withColumn("nth", nth).where(F.col("nth") <= per_language).select("h", "text", "lang")
 
     def run(batches):
         got = sorted((r for b in batches for r in b.to_pylist()), key=lambda r: (r["h"], r["text"], r["lang"]))
