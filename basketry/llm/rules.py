@@ -5,8 +5,8 @@ is rejected depends on the document's own group. Of each (lang, source) and
 measure a sketch is kept: counts of buckets with six significant bits (relative
 error 1/32). Sketches merge by adding counts, so a hot source is folded on the
 map side, and languages and the whole are merged from the groups. A bound is the
-outer fence q75 + 3 (q75 - q25), and no tighter than a fixed floor, so that a
-clean group rejects nothing. Groups of fewer than ``MIN_GROUP`` documents use their
+outer fence q75 + 3 (q75 - q25) with the whole of the bucket it lies in, as quantiles are
+lower edges of buckets, and no tighter than a fixed floor, so that a clean group rejects nothing. Groups of fewer than ``MIN_GROUP`` documents use their
 language's sketch, small languages that of all documents.
 
 Null or empty text has no words and fails the base rules. Null lang or source is
@@ -110,10 +110,18 @@ def _value(m: Column, name: str) -> Column:
     return F.call_function("div", F.lit(scale).cast("long") * m[top], F.greatest(m[under], F.lit(1)))
 
 
+def _shift(v: Column) -> Column:
+    return F.greatest(F.length(F.bin(v)) - 6, F.lit(0))
+
+
 def bucket(v: Column) -> Column:
     """``v`` (0 or more) with all but its six highest bits cleared."""
-    shift = F.greatest(F.length(F.bin(v)) - 6, F.lit(0))
-    return F.call_function("shiftleft", F.call_function("shiftright", v, shift), shift)
+    return F.call_function("shiftleft", F.call_function("shiftright", v, _shift(v)), _shift(v))
+
+
+def bucket_end(v: Column) -> Column:
+    """The largest value in the bucket of ``v``."""
+    return bucket(v) + F.call_function("shiftleft", F.lit(1).cast("long"), _shift(v)) - 1
 
 
 def sketch(measured: DataFrame, m: Column) -> DataFrame:
@@ -156,7 +164,7 @@ def bounds(sketches: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     )
     fence = F.col("high") + F.lit(3) * (F.col("high") - F.col("low"))
     return chosen.groupBy("lang", "source").agg(
-        *[F.max(F.when(F.col("measure") == k, F.greatest(fence, F.lit(floor).cast("long")))).alias(k) for k, (_, _, _, floor) in UPPER.items()]
+        *[F.max(F.when(F.col("measure") == k, F.greatest(bucket_end(fence), F.lit(floor).cast("long")))).alias(k) for k, (_, _, _, floor) in UPPER.items()]
     )
 
 

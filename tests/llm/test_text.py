@@ -184,6 +184,15 @@ def test_rules_thresholds_and_edges(spark):
     assert rules.filter_documents(docs.withColumn("m", docs.lang)).columns == [*docs.columns, "m"]
 
 
+def test_rules_keep_a_group_inside_one_bucket(spark):
+    words = lambda n, marked: " ".join("#" * (k < marked) + f"u{k}" for k in range(n))
+    symbols, more = words(100, 30), words(125, 38)  # 300 and 304 of 1000 words: the buckets that begin at 296 and 304
+    long_words = " ".join(f"{k:02}".ljust(20 + (k < 3), "x") for k in range(20))  # 2015, in the bucket that begins at 1984
+    texts = [(symbols, "a")] * 60 + [(more, "a")] + [(long_words, "b")] * 60
+    docs = spark.createDataFrame([(i, t, "en", s, 0) for i, (t, s) in enumerate(texts)], SCHEMA)
+    assert {r.doc_id for r in rules.filter_documents(docs).collect()} == set(range(121)) - {60}
+
+
 def test_packing_fills_sequences(spark, corpus):
     from tokenizers import Tokenizer
 
