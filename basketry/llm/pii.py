@@ -5,8 +5,9 @@ cycle walking, so equal values get equal pseudonyms in every document and differ
 ones stay different:
 
     email     letters and digits of the mailbox and of the host but its last label
-    card      13 to 19 digits with a valid Luhn digit, which stays valid
-    phone     +cc or national numbers of 8 to 15 digits; the country code stays
+    card      13 to 19 digits with a valid Luhn digit, which stays valid; in one piece, in the groups that cards are
+              printed in, or a whole run of groups between the same blanks or hyphens
+    phone     +cc or national numbers of 8 to 15 digits; the country code stays, punctuation doesn't count
     ssn       ddd-dd-dddd with area, group and serial in use
     ipv4      four octets up to 255
     date      calendar dates from 1900 to 2099, yyyy-mm-dd or dd/mm/yyyy (mm/dd/yyyy if only that is valid)
@@ -115,13 +116,16 @@ def _number(value: str, key: bytes) -> tuple[str, str]:
     return "", value  # no card: without a valid check digit it is any number
 
 
+#: Country codes of one and two digits; all others have three, and none begins with another.
+_COUNTRY = re.compile(r"[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3}")
+
+
 def _phone(value: str, key: bytes) -> tuple[str, str]:
     digits = re.sub(r"\D", "", value)
     if not 8 <= len(digits) <= 15:
         return "", value
-    head = re.match(r"\+\d{1,3}", value)
-    at = head.end() if head else 0
-    return "phone", value[:at] + permute_characters(value[at:], "phone", key)
+    at = _COUNTRY.match(digits).end() if value[0] == "+" else 0
+    return "phone", _refill(value, digits[:at] + permute_characters(digits[at:], "phone", key))
 
 
 def _ssn(value: str, key: bytes) -> tuple[str, str]:
@@ -180,6 +184,12 @@ def _secret(value: str, key: bytes) -> tuple[str, str]:
     return "secret", permute_characters(value, "secret", key, hexadecimal=True)
 
 
+#: Cards in one piece or as printed: 4-4-4-4, 4-4-4-4-3, 4-4-4-1, 4-6-5 and 4-6-4.
+_LONGER = r"(?:(?P=gap)\d{3})?"
+_CARD = rf"(?<!\w)(?:\d{{13,19}}|\d{{4}}(?P<gap>[ -])(?:\d{{4}}(?P=gap)\d{{4}}(?P=gap)(?:\d{{4}}{_LONGER}|\d)|\d{{6}}(?P=gap)\d{{4,5}}))(?!\w)"
+#: Any other whole run of groups that makes 13 to 19 digits.
+_RUN = r"(?<!\w)(?<!\d[ -])(?=\d(?:[ -]?\d){12,18}(?![ -]?\d))\d+(?P<mark_>[ -])\d+(?:(?P=mark_)\d+)*(?!\w)(?![ -]\d)"
+
 KINDS: dict[str, tuple[str, Callable[[str, bytes], tuple[str, str]]]] = {
     "email": (r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,}(?![A-Za-z0-9])", _email),
     "secret": (r"(?<![A-Za-z0-9])(?=[0-9A-Fa-f]*[0-9])(?=[0-9A-Fa-f]*[A-Fa-f])[0-9A-Fa-f]{32,}(?![A-Za-z0-9])", _secret),
@@ -187,10 +197,12 @@ KINDS: dict[str, tuple[str, Callable[[str, bytes], tuple[str, str]]]] = {
     "ipv4": (r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)", _ipv4),
     "ssn": (r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])", _ssn),
     "phone": (r"(?<![\w+])\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)|(?<![\w+])\+\d{1,3}(?:[ .-]?\(\d{1,4}\))?(?:[ .-]?\d{2,4}){2,5}(?!\d|\.\d)|(?<![\w(])(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)", _phone),
-    "number": (r"(?<![\w])(?:\d{13,19}|\d{4}(?P<gap>[ -])\d{4}(?P=gap)\d{4}(?P=gap)\d{4})(?![\w])", _number),
+    "number": (rf"{_CARD}|{_RUN}", _number),
 }
 
 _ANY = re.compile("|".join(f"(?P<{k}>{pattern})" for k, (pattern, _) in KINDS.items()))
+_CARDS = [re.compile(c) for c in (_CARD.replace(_LONGER, ""), _CARD, _RUN)]  # in the order tried
+_GROUP = re.compile(r"\d+")
 _HINT = re.compile(r"[0-9@]")
 
 
@@ -199,18 +211,35 @@ def _pseudonym(pattern: str, value: str, key: bytes) -> tuple[str, str]:
     return KINDS[pattern][1](value, key)
 
 
+def _card(text: str, at: int, key: bytes) -> tuple[str, str, int]:
+    """Kind, pseudonym and end of the card that begins at ``at``; without one, the first group of digits as it is."""
+    for n, form in enumerate(_CARDS):
+        m = form.match(text, at)
+        # A printed card inside a run counts more than the whole run.
+        if m and (n < 2 or not any(_number(c.group(), key)[0] for f in _CARDS[:2] for c in f.finditer(text, at + 1, m.end()))):
+            kind, made = _pseudonym("number", m.group(), key)
+            if kind:
+                return kind, made, m.end()
+    m = _GROUP.match(text, at)
+    return "", m.group(), m.end()
+
+
 def pseudonymize(text: str, key: bytes) -> tuple[str, list[str]]:
     """The text with every valid value replaced, and the kinds of those values in order."""
     kinds: list[str] = []
-
-    def swap(m: re.Match) -> str:
+    if not _HINT.search(text):
+        return text, kinds
+    parts, at = [], 0
+    m = _ANY.search(text)
+    while m:
         pattern = next(k for k in KINDS if m.group(k) is not None)
-        kind, made = _pseudonym(pattern, m.group(), key)
+        kind, made, end = _card(text, m.start(), key) if pattern == "number" else (*_pseudonym(pattern, m.group(), key), m.end())
         if kind:
             kinds.append(kind)
-        return made
-
-    return (_ANY.sub(swap, text), kinds) if _HINT.search(text) else (text, kinds)
+        parts += text[at : m.start()], made
+        at = end
+        m = _ANY.search(text, at)
+    return "".join(parts) + text[at:], kinds
 
 
 def mask(docs: DataFrame, key: bytes = DEMO_KEY, text_column: str = "text", kinds_column: str | None = None) -> DataFrame:

@@ -172,6 +172,28 @@ def test_pii_is_a_permutation_within_formats(spark):
     assert [r.text for r in got] == [None, "", new, new] and [r.found for r in got] == [5, 6, 7, 7]
 
 
+def test_pii_cards_in_any_grouping_and_phones_in_any_notation():
+    new = lambda t: pii.pseudonymize(t, b"k")
+    digits = lambda t: re.sub(r"\D", "", t)
+    amex, found = new("card 3782 822463 10005.")
+    assert found == ["card"] and re.fullmatch(r"card \d{4} \d{6} \d{5}\.", amex) and "822463" not in amex
+    for other in ("3782-822463-10005", "378282246310005", "378 282 246 310 005", "3782-8224-6310-005"):
+        assert new(other)[1] == ["card"] and digits(new(other)[0]) == digits(amex)
+    whole = new("4539 1488 0343 6467")[0]
+    for text in ("12 {}", "{} 12", "{} 123", "7 8 {} 9 10", "{} 4539 1488 0343 6466"):
+        made, found = new(text.format("4539 1488 0343 6467"))
+        assert made == text.format(whole) and found == ["card"]
+    for left in ("3782 822463 10006", "100 200 300 400 501", "378 282 246 310 005 17 18", "1234 5678 90"):
+        assert new(left) == (left, [])
+    assert new("12 2024-02-29 555 17 20")[1] == ["date"]
+    phones = [new(p) for p in ("+1 (310) 555-4510", "+13105554510", "+1 310.555.4510", "310-555-4510", "(310) 555-4510")]
+    assert all(k == ["phone"] for _, k in phones) and len({digits(p)[-10:] for p, _ in phones}) == 1
+    assert digits(phones[0][0])[1:] != "3105554510" and phones[1][0].startswith("+1") and phones[0][0][:4] == "+1 ("
+    a, b = new("+44 20 7946 0958")[0], new("+442079460958")[0]
+    assert digits(a) == digits(b) != "442079460958" and b.startswith("+44")
+    assert digits(new("+352 26 123 456")[0]).startswith("352")
+
+
 def test_rules_thresholds_and_edges(spark):
     clean = [f"a{k} bee cee dee eff gee aitch eye jay kay ell {k} em en oh" for k in range(120)]
     junk = ["## $$ %% " * 5 + "one two three", "Same line here now\n" * 6 + " ".join(f"u{k}" for k in range(60)), "", None, "few words", "a b c d e " * 9]
