@@ -340,7 +340,8 @@ def _linked_components(docs: DataFrame) -> DataFrame:
     cells = _prefix_rows(chosen).select("token", "doc", F.min("doc").over(cell).alias("pivot"), F.count("doc").over(cell).alias("members"))
     cells = materialize(cells.where("members > 1"), "cells")
 
-    points = features.select("doc_id", "n", "point").dropDuplicates(["doc_id", "n"])
+    # A doc_id has a point for each of its texts; a pair goes on if any two of them may link.
+    points = features.select("doc_id", *fingerprint, "point").dropDuplicates(["doc_id", *fingerprint]).drop("f1", "f2")
     stars = cells.where("doc > pivot").select(F.col("pivot").alias("a"), F.col("doc").alias("b")).distinct()
     stars = materialize(_bounded(stars, points).distinct(), "star_pairs")
     links = _verified(stars, known)
@@ -350,7 +351,7 @@ def _linked_components(docs: DataFrame) -> DataFrame:
     rest = cells.where("doc > pivot").join(label.withColumnRenamed("node", "doc"), "doc", "left")
     rest = rest.select("token", "doc", F.coalesce("component", "doc").alias("label"))
     mixed = rest.groupBy("token").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.count("*").alias("m")).where("least < most")
-    rest = rest.join(mixed.select("token", "m"), "token")
+    rest = rest.join(mixed.select("token", "m"), "token").dropDuplicates(["token", "doc"])
     blocks = F.ceil(F.col("m") / BLOCK).cast("int")
     rest = rest.withColumn("block", F.pmod(F.xxhash64("doc"), blocks).cast("int")).withColumn(
         "other", F.explode(F.sequence(F.lit(0), blocks - 1))

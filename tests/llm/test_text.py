@@ -96,6 +96,16 @@ def test_jaccard_null_and_repeated_ids(spark):
     assert sorted((str(r.doc_id), r.n) for r in jaccard.drop_near_duplicates(df).collect()) == [("3", "q"), ("None", "x")]
 
 
+def test_jaccard_texts_of_equal_size_under_one_id(spark):
+    rng = random.Random(2)
+    texts = [[f"{name}{rng.randrange(10**6)}" for _ in range(120)] for name in "pqr"]
+    near = [["other", *t[1:]] for t in texts]
+    rows = [(1, t) for t in texts] + [(2 + k, t) for k, t in enumerate(near)]
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in rows], "doc_id long, text string")
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.linked_components(df).collect())
+    assert got == [(i, 116, 1) for i in (1, 1, 1, 2, 3, 4)]
+
+
 def cut_by_hand(texts, window=50):
     first, out = {}, {}
     for i, t in sorted(texts):
