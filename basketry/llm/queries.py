@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketry.llm import chat, decontaminate, jaccard, kneser_ney, langid, packing, phrases, pii, rules, sharding
+from basketry.llm import bpe, chat, decontaminate, jaccard, kneser_ney, langid, merkle, packing, phrases, pii, repair, rules, sharding
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -14,7 +14,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def tokenizer_path() -> str:
-    """The vocabulary file that the packing query is defined on."""
+    """The vocabulary file that the packing and encoding queries are defined on."""
     import public_tokenizers
 
     return public_tokenizers.path("byte_bpe_50k.json")
@@ -60,6 +60,18 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digest(spark, _table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.digest(_table(spark, sf_dir, "documents"))
+
+
+def op12_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digest(_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.digest(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -73,5 +85,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_chat_formatting,
         op9_language_id,
         op10_sharding,
+        op11_merkle_manifest,
+        op12_bpe_tree,
+        op13_conversation_repair,
     )
 }
