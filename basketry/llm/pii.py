@@ -30,15 +30,21 @@ from hashlib import blake2b
 from math import isqrt
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from basketry.llm.common import append_columns
 
 ROUNDS = 8
-#: For tests and checks; a deployment passes its own.
+#: For tests and checks; a deployment passes its own, or names it in hexadecimal digits by this setting (its name keeps it out of logs).
 DEMO_KEY = b"basketry demo key"
+KEY_SETTING = "spark.basketry.pii.secret"
+
+
+def configured_key(spark: SparkSession) -> bytes:
+    named = spark.conf.get(KEY_SETTING, None)
+    return bytes.fromhex(named) if named else DEMO_KEY
 
 
 def permute(value: int, size: int, key: bytes, tweak: bytes, inverse: bool = False) -> int:
@@ -68,8 +74,33 @@ def permute(value: int, size: int, key: bytes, tweak: bytes, inverse: bool = Fal
 _ALPHABETS = {"d": "0123456789", "l": "abcdefghijklmnopqrstuvwxyz", "x": "0123456789abcdef"}
 
 
+#: Longer values are permuted in chunks of so many characters, which keeps the numbers small and the work linear.
+CHUNK = 128
+
+
 def permute_characters(value: str, kind: str, key: bytes, hexadecimal: bool = False, inverse: bool = False) -> str:
-    """``value`` with its digits and ASCII letters permuted together, each within its alphabet; the rest and the case stay."""
+    """``value`` with its digits and ASCII letters permuted together, each within its alphabet; the rest and the case stay.
+
+    A value longer than ``CHUNK`` is permuted chunk by chunk, forwards and then backwards. Each
+    chunk's permutation depends on all chunks before it in that direction, so a change anywhere
+    changes every chunk.
+    """
+    upper = hexadecimal and value.upper() == value
+    if len(value) <= CHUNK:
+        return _permute_chunk(value, kind.encode(), key, hexadecimal, upper, inverse)
+    chunks = [value[at : at + CHUNK] for at in range(0, len(value), CHUNK)]
+    for forwards in (False, True) if inverse else (True, False):
+        seen = blake2b(f"{kind}:{len(value)}:{forwards}".encode(), digest_size=32)
+        made = chunks.copy()
+        for i in range(len(chunks)) if forwards else reversed(range(len(chunks))):
+            made[i] = _permute_chunk(chunks[i], seen.digest(), key, hexadecimal, upper, inverse)
+            # Forwards what stood there before permuting counts, backwards what stands there after it: both are known when undoing.
+            seen.update((chunks[i] if forwards != inverse else made[i]).lower().encode())
+        chunks = made
+    return "".join(chunks)
+
+
+def _permute_chunk(value: str, kind: bytes, key: bytes, hexadecimal: bool, upper: bool, inverse: bool) -> str:
     lower = value.lower()
     sets = []
     for c in lower:
@@ -81,14 +112,14 @@ def permute_characters(value: str, kind: str, key: bytes, hexadecimal: bool = Fa
     for c, a in zip(lower, sets, strict=True):
         if a:
             number, size = number * len(a) + a.index(c), size * len(a)
-    tweak = f"{kind}:{''.join('.xld'[(len(a) == 16) + 2 * (len(a) == 26) + 3 * (len(a) == 10)] for a in sets)}:".encode()
+    tweak = kind + f":{''.join('.xld'[(len(a) == 16) + 2 * (len(a) == 26) + 3 * (len(a) == 10)] for a in sets)}:".encode()
     number = permute(number, size, key, tweak, inverse)
     out = []
     for c, a in zip(reversed(value), reversed(sets), strict=True):
         if a:
             number, k = divmod(number, len(a))
             new = a[k]
-            out.append(new.upper() if hexadecimal and value.upper() == value or c.isupper() else new)
+            out.append(new.upper() if upper or c.isupper() else new)
         else:
             out.append(c)
     return "".join(reversed(out))
@@ -206,11 +237,18 @@ _GROUP = re.compile(r"\d+")
 _HINT = re.compile(r"[0-9@]")
 
 
-@lru_cache(maxsize=100_000)
 def _pseudonym(pattern: str, value: str, key: bytes) -> tuple[str, str]:
+    # Long values are not kept: the cache is bounded by their number only.
+    return (_remembered if len(value) <= CHUNK else _computed)(pattern, value, key)
+
+
+def _computed(pattern: str, value: str, key: bytes) -> tuple[str, str]:
     return KINDS[pattern][1](value, key)
 
 
+_remembered = lru_cache(maxsize=100_000)(_computed)
+
+
 def _card(text: str, at: int, key: bytes) -> tuple[str, str, int]:
     """Kind, pseudonym and end of the card that begins at ``at``; without one, the first group of digits as it is."""
     for n, form in enumerate(_CARDS):
@@ -242,8 +280,12 @@ def pseudonymize(text: str, key: bytes) -> tuple[str, list[str]]:
     return "".join(parts) + text[at:], kinds
 
 
-def mask(docs: DataFrame, key: bytes = DEMO_KEY, text_column: str = "text", kinds_column: str | None = None) -> DataFrame:
-    """``docs`` with the text replaced; ``kinds_column`` (array<string>) gets the kinds found, null for a null text."""
+def mask(docs: DataFrame, key: bytes | None = None, text_column: str = "text", kinds_column: str | None = None) -> DataFrame:
+    """``docs`` with the text replaced; ``kinds_column`` (array<string>) gets the kinds found, null for a null text.
+
+    Without a ``key`` the session's setting counts.
+    """
+    key = configured_key(docs.sparkSession) if key is None else key
     fields = [T.StructField(text_column, T.StringType())]
     if kinds_column:
         fields.append(T.StructField(kinds_column, T.ArrayType(T.StringType())))
