@@ -21,13 +21,15 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from basketry.session import materialize, spread
 
@@ -158,56 +160,50 @@ def _unpacked(blob: bytes) -> list[int]:
     return np.frombuffer(blob, "<u4").tolist()
 
 
+#: What is made of a text's ids: the values of the result's columns.
+Finish = Callable[[Coder, list[int]], tuple]
 _SIDE = "seg int, special int, word string"
 
 
-def _segments(texts: DataFrame, tokenizer: str, leaf: int, segment: int) -> DataFrame:
-    """(row, id, ids, seg, special, word): the ids of a text up to ``segment`` characters, else its segments without ids."""
-    id_field = texts.schema["id"]
+def _arrow(ddl: str) -> pa.Schema:
+    return to_arrow_schema(T._parse_datatype_string(ddl))
+
+
+def _segments(texts: DataFrame, tokenizer: str, leaf: int, segment: int, finish: Finish, result: str) -> DataFrame:
+    """(row, id, result, seg, special, word): the result of a text up to ``segment`` characters, else its segments without one."""
+    schema = f"row long, id {texts.schema['id'].dataType.simpleString()}, {result}, {_SIDE}"
+    target, width = _arrow(schema), len(_arrow(result))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = coder(tokenizer, leaf)
+        nothing = (None,) * width
         for batch in batches:
-            keys, names, ids, segs, specials, words = [], [], [], [], [], []
-
-            def put(r, blob, seg, special, word):
-                keys.append(rows[r].as_py())
-                names.append(r)
-                ids.append(blob)
-                segs.append(seg)
-                specials.append(special)
-                words.append(word)
-
-            rows, values = batch.column("row"), batch.column("text")
-            for r in range(len(batch)):
-                text = values[r].as_py() or ""
+            out: list[tuple] = []  # the row of the batch, then the values after its id
+            for r, text in enumerate(batch.column("text").to_pylist()):
+                text = text or ""
                 if len(text) <= segment:
-                    put(r, _packed(made.encode(text)), None, None, None)
+                    out.append((r, *finish(made, made.encode(text)), None, None, None))
                     continue
-                seg = 0
+                sides: list[tuple] = []  # segments are not joined over a special token
                 for part in made.parts(text):
                     if part in made.special:
-                        put(r, None, seg, made.special[part], None)
-                        seg += 1
-                        continue
-                    for at in range(0, len(part), segment):
-                        # The sides of a special token are not joined over it.
-                        put(r, None, seg, None, part[at : at + segment])
-                        seg += 1
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(keys, pa.int64()), batch.column("id").take(pa.array(names, pa.int64())), pa.array(ids, pa.binary()),
-                    pa.array(segs, pa.int32()), pa.array(specials, pa.int32()), pa.array(words, pa.string()),
-                ],
-                names=["row", "id", "ids", "seg", "special", "word"],
-            )
-
-    return texts.mapInArrow(run, f"row long, id {id_field.dataType.simpleString()}, ids binary, {_SIDE}")
-
-
-def _join_segments(long: DataFrame, tokenizer: str, leaf: int) -> DataFrame:
-    """(row, id, ids) of the texts that were cut: segments are encoded where they are dealt to, then joined text by text."""
+                        sides.append((made.special[part], None))
+                    else:
+                        sides += [(None, part[at : at + segment]) for at in range(0, len(part), segment)]
+                out += [(r, *nothing, seg, *side) for seg, side in enumerate(sides)]
+            at, *columns = zip(*out, strict=True) if out else [()] * (width + 4)
+            taken = pa.array(at, pa.int64())
+            arrays = [batch.column("row").take(taken), batch.column("id").take(taken)]
+            arrays += [pa.array(c, f.type) for c, f in zip(columns, list(target)[2:], strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, schema=target)
+
+    return texts.mapInArrow(run, schema)
+
+
+def _join_segments(long: DataFrame, tokenizer: str, leaf: int, finish: Finish, result: str) -> DataFrame:
+    """(id, result) of the texts that were cut: segments are encoded where they are dealt to, then joined text by text."""
     kind = long.schema["id"].dataType.simpleString()
+    target = _arrow(f"id {kind}, {result}")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = coder(tokenizer, leaf)
@@ -228,27 +224,37 @@ def _join_segments(long: DataFrame, tokenizer: str, leaf: int) -> DataFrame:
                 ids += [*made.join_all(sides), special]
                 sides = []
         ids += made.join_all(sides)
-        return pa.table([table["row"].slice(0, 1), table["id"].slice(0, 1), pa.array([_packed(ids)], pa.binary())], names=["row", "id", "ids"])
+        values = [pa.array([v], f.type) for v, f in zip(finish(made, ids), list(target)[1:], strict=True)]
+        return pa.table([table["id"].slice(0, 1), *values], schema=target)
 
     dealt = long.select("row", "id", "seg", "special", "word").repartition("row", "seg")
     sides = dealt.mapInArrow(encode, f"row long, id {kind}, seg int, special int, ids binary")
-    return sides.groupBy("row").applyInArrow(join, f"row long, id {kind}, ids binary")
+    return sides.groupBy("row").applyInArrow(join, f"id {kind}, {result}")
 
 
-def encode(
-    docs: DataFrame, tokenizer: str, id_column: str = "doc_id", text_column: str = "text", leaf: int = LEAF, segment: int = SEGMENT
-) -> DataFrame:
-    """(id, ids): the ids of every whole text as little-endian unsigned 32-bit numbers, one row for each row of ``docs``.
+def over_ids(
+    docs: DataFrame, tokenizer: str, finish: Finish, result: str, id_column: str = "doc_id", text_column: str = "text",
+    leaf: int = LEAF, segment: int = SEGMENT,
+) -> DataFrame:
+    """(id, result) with what ``finish`` makes of the ids of every whole text, one row for each row of ``docs``.
 
-    A row number, written with the first pass, holds the segments of one text together. One group
-    holds the ids of one text, which was one row before.
+    The texts are read once: the first pass is written with the results of short texts and the
+    segments of long ones. A row number written with them holds the segments of one text together;
+    one group has the ids of one text, which was one row before.
     """
     texts = spread(docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")))
     numbered = texts.select(F.monotonically_increasing_id().alias("row"), "id", "text")
-    first = materialize(_segments(numbered, tokenizer, leaf, segment), "bpe-segments")
-    short = first.where("seg IS NULL").select("row", "id", "ids")
-    joined = _join_segments(first.where("seg IS NOT NULL"), tokenizer, leaf)
-    return short.unionByName(joined).select(F.col("id").alias(id_column), "ids")
+    first = materialize(_segments(numbered, tokenizer, leaf, segment, finish, result), "bpe-segments")
+    short = first.where("seg IS NULL").drop("row", "seg", "special", "word")
+    joined = _join_segments(first.where("seg IS NOT NULL"), tokenizer, leaf, finish, result)
+    return short.unionByName(joined).withColumnRenamed("id", id_column)
+
+
+def encode(
+    docs: DataFrame, tokenizer: str, id_column: str = "doc_id", text_column: str = "text", leaf: int = LEAF, segment: int = SEGMENT
+) -> DataFrame:
+    """(id, ids): the ids of every whole text as little-endian unsigned 32-bit numbers."""
+    return over_ids(docs, tokenizer, lambda made, ids: (_packed(ids),), "ids binary", id_column, text_column, leaf, segment)
 
 
 def decode(encoded: DataFrame, tokenizer: str, id_column: str = "doc_id", ids_column: str = "ids") -> DataFrame:
@@ -267,18 +273,7 @@ def decode(encoded: DataFrame, tokenizer: str, id_column: str = "doc_id", ids_co
 def digest(docs: DataFrame, tokenizer: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document, from its ids and what they decode to."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made = coder(tokenizer)
-        for batch in batches:
-            sizes, of_ids, of_texts = [], [], []
-            for blob in batch.column("ids"):
-                ids = _unpacked(blob.as_py())
-                sizes.append(len(ids))
-                of_ids.append(sha256(",".join(map(str, ids)).encode()).hexdigest())
-                of_texts.append(sha256(made.decode(ids).encode()).hexdigest())
-            arrays = [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_texts, pa.string())]
-            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    encoded = encode(docs, tokenizer)
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return encoded.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    def hashes(made: Coder, ids: list[int]) -> tuple:
+        return len(ids), sha256(",".join(map(str, ids)).encode()).hexdigest(), sha256(made.decode(ids).encode()).hexdigest()
+
+    return over_ids(docs, tokenizer, hashes, "n_tokens long, ids_sha256 string, decoded_sha256 string")
