@@ -30,67 +30,25 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from basketry.llm import bpe
 from basketry.session import materialize
 
 CAPACITY = 2048
 GROUPS = 256
 SALTS = 32
 SEPARATOR = 0
-#: Texts of more characters are cut by the tokenizers library, which has no stack to run out of.
-LONG_TEXT = 500_000
-
-#: How this vocabulary's tokenizer cuts text before merging (fixed by the vocabulary).
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-_coders: dict[str, "Coder"] = {}
-
-
-class Coder:
-    """Ids of texts under a byte-level vocabulary, given as the tokenizers library's file.
-
-    The vocabulary's merges are in the order of its ids, so merging by rank (tiktoken)
-    gives the same ids in a third of the time.
-    """
-
-    def __init__(self, path: str) -> None:
-        import tiktoken
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        # The file writes each byte as a character: printable Latin-1 as itself, the others from U+0100 on.
-        printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-        others = [b for b in range(256) if b not in printable]
-        byte_of = {chr(b): b for b in printable} | {chr(0x100 + k): b for k, b in enumerate(others)}
-        ranks = {
-            bytes(byte_of[c] for c in token): rank
-            for token, rank in self.tokenizer.get_vocab(with_added_tokens=False).items()
-            if all(c in byte_of for c in token)
-        }
-        special = set(self.tokenizer.get_added_tokens_decoder())
-        ranks = {t: r for t, r in ranks.items() if r not in special}
-        self.fast = tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-
-    def encode(self, text: str) -> np.ndarray:
-        if len(text) > LONG_TEXT:
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        else:
-            ids = self.fast.encode_ordinary(text)
-        ids.append(SEPARATOR)
-        return np.array(ids, "<u4")
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of every piece."""
 
     def run(batches):
-        if tokenizer not in _coders:
-            _coders[tokenizer] = Coder(tokenizer)
-        encode = _coders[tokenizer].encode
+        made = bpe.coder(tokenizer)
         for batch in batches:
             out: list[tuple] = []
             ids, texts = batch.column(0), batch.column(1)
             for r in range(len(batch)):
-                tokens = encode(texts[r].as_py() or "")
+                tokens = np.array([*made.encode(texts[r].as_py() or ""), SEPARATOR], "<u4")
                 end = len(tokens) % capacity or capacity
                 start = 0
                 for piece in range(-(-len(tokens) // capacity)):

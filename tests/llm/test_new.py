@@ -9,7 +9,7 @@ import zlib
 
 import pytest
 
-from basketry.llm import bpe, merkle, queries, repair
+from basketry.llm import bpe, merkle, packing, queries, repair
 from basketry.llm.glr import ROLE_GRAMMAR, Automaton, Stacks
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -179,6 +179,19 @@ def test_bpe_digest(spark, library):
     assert bpe.digest(df.limit(0), queries.tokenizer_path()).collect() == []
 
 
+def test_packing_uses_the_files_own_settings(spark, library):
+    """A special token's string in a text is that token."""
+    rows = [(1, "a <|endoftext|> b", "en", "s", 0), (2, None, "en", "s", 0), (3, "x" * 9000, "en", "s", 0)]
+    got = packing.pack(spark, spark.createDataFrame(rows, DOCS), queries.tokenizer_path()).collect()
+    for i, text, *_ in rows:
+        ids = [*library.encode(text or "", add_special_tokens=False).ids, 0]
+        assert sum(r.length for r in got if r.doc_id == i) == len(ids)
+        for r in got:
+            if r.doc_id == i:
+                piece = b"".join(k.to_bytes(4, "little") for k in ids[r.start : r.start + r.length])
+                assert r.ids_crc32 == zlib.crc32(piece)
+
+
 # --- conversations -----------------------------------------------------------------------
 
 

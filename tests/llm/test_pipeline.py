@@ -137,7 +137,6 @@ def test_every_stage_against_brute_force(spark, tables, tmp_path):
     assert sorted(map(tuple, got.collect())) == sorted(expected)
 
     coder = Tokenizer.from_file(queries.tokenizer_path())
-    coder.encode_special_tokens = True
     pieces = set()
     for d in expected:
         ids = np.array([*coder.encode(d[1], add_special_tokens=False).ids, 0], "<u4")

@@ -230,7 +230,6 @@ def test_packing_fills_sequences(spark, corpus):
 
     path = queries.tokenizer_path()
     reference = Tokenizer.from_file(path)
-    reference.encode_special_tokens = True
     odd = [(200, "it's  they'll\n\n x 's <|endoftext|> é  日本 12345 \t"), (201, " " * 3000), (201, "a" * 5000)]
     texts = corpus + odd
     got = packing.pack(spark, frame(spark, texts), path).collect()
