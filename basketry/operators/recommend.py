@@ -88,18 +88,20 @@ def ranked(scored: DataFrame, group: str, item: str, k: int) -> DataFrame:
 
 
 def recommend_content(
-    users: DataFrame, products: DataFrame, interactions: DataFrame, k: int = 5, model: tfidf.TfIdf | None = None
-) -> DataFrame:
+    users: DataFrame, products: DataFrame, interactions: DataFrame, k: int = 5, model: tfidf.TfIdf | None = None,
+    broadcast_bytes: int | None = None,
+) -> DataFrame:
     """Each listed user's k unseen products most like their history.
 
     Users without history get the popular products. A list that stays short,
     because the history covers the catalogue, is filled up with popular products
-    not yet listed, history allowed; filled places score 0.
+    not yet listed, history allowed; filled places score 0. ``broadcast_bytes`` is the
+    size up to which item vectors are sent to every task (``scoring.top_scores``).
     """
     model = fit_content(products) if model is None else model
     history = history_counts(users, interactions)
     profiles = materialize(user_profiles(history, model), "user-profiles")
-    scored = top_scores(profiles, model.vectors(), history, USER, PRODUCT, len(model.terms), k)
+    scored = top_scores(profiles, model.vectors(), history, USER, PRODUCT, len(model.terms), k, broadcast_bytes)
     listed = (
         ranked(scored, USER, PRODUCT, k)
         .groupBy(USER)
@@ -127,11 +129,11 @@ def recommend_content(
     return out.select(USER, (F.col("pos") + 1).alias("rank"), f"p.{PRODUCT}", "p.score")
 
 
-def similar_items(model: tfidf.TfIdf, k: int = 5) -> DataFrame:
+def similar_items(model: tfidf.TfIdf, k: int = 5, broadcast_bytes: int | None = None) -> DataFrame:
     """(product, rank, similar, score): each item's k nearest others by cosine."""
     queries = model.vectors().withColumnRenamed(PRODUCT, "item_id")
     itself = model.vectors().select(F.col(PRODUCT).alias("item_id"), PRODUCT)
-    scored = top_scores(queries, model.vectors(), itself, "item_id", PRODUCT, len(model.terms), k)
+    scored = top_scores(queries, model.vectors(), itself, "item_id", PRODUCT, len(model.terms), k, broadcast_bytes)
     out = ranked(scored, "item_id", PRODUCT, k)
     return out.select(F.col("item_id").alias(PRODUCT), "rank", F.col(PRODUCT).alias("similar_id"), "score")
 

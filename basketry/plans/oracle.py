@@ -501,12 +501,14 @@ def build() -> dict[str, str]:
         *text,
         "sims AS (SELECT x.product_id AS a, y.product_id AS b, round(sum(x.w * y.w), 9) AS score FROM weights x JOIN weights y USING (term) GROUP BY ALL)",
     )
+    q["item_similarity_indexed"] = q["item_similarity_topk"]
     recommender = ["v_users", "v_items", "v_interactions"]
     content = content_ctes("v_interactions", 5)
     q["user_profile"] = with_views(recommender, "SELECT user_id, term, round(w, 6) AS weight FROM profiles", *text, *content[:2])
     q["content_topk"] = with_views(
         recommender, "SELECT user_id, rank, product_id, round(score, 6) AS score FROM content_lists", *text, *content
     )
+    q["content_topk_indexed"] = q["content_topk"]
     q["eval_ndcg"] = with_views(
         ["v_users", "v_products", "v_reviews"],
         f"SELECT * FROM {metrics('popular_lists', 100)}",

@@ -489,6 +489,20 @@ def content_topk(spark, d):
     return recs.select("user_id", "rank", "product_id", r6("score"))
 
 
+# The same lists by the search that item tables beyond the broadcast limit get.
+@query
+def item_similarity_indexed(spark, d):
+    lists = recommend.similar_items(item_model(spark, d), 5, broadcast_bytes=0)
+    return lists.select("product_id", "rank", "similar_id", r6("score"))
+
+
+@query
+def content_topk_indexed(spark, d):
+    users, interactions = view(spark, d, "v_users"), view(spark, d, "v_interactions")
+    recs = recommend.recommend_content(users, catalogue(spark, d), interactions, 5, item_model(spark, d), broadcast_bytes=0)
+    return recs.select("user_id", "rank", "product_id", r6("score"))
+
+
 @query
 def batch_recommend_lookup(spark, d):
     # Lists are stored, then looked up for everyone who had a session.

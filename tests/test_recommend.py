@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from basketry.operators import evaluate, holdout, recommend, scoring, tfidf
+from basketry.operators import evaluate, holdout, item_index, recommend, scoring, tfidf
 
 
 def rows(df, *order):
@@ -131,7 +131,8 @@ def test_similar_items(spark, shop):
 @pytest.mark.parametrize("broadcast_bytes", [0, 1 << 26])
 def test_top_scores_over_many_blocks(spark, monkeypatch, broadcast_bytes):
     monkeypatch.setattr(scoring, "BROADCAST_BYTES", broadcast_bytes)
-    monkeypatch.setattr(scoring, "ITEM_BLOCK", 40)
+    monkeypatch.setattr(item_index, "SHELF", 40)
+    monkeypatch.setattr(item_index, "BLOCK", 10)
     monkeypatch.setattr(scoring, "QUERY_BLOCK", 10)
     monkeypatch.setattr(scoring, "DENSE_ITEMS", 16)
     monkeypatch.setattr(scoring, "DENSE_QUERIES", 4)
