@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -111,6 +111,17 @@ def quality_report(df: DataFrame, spec: DatasetSpec) -> DataFrame:
     return counted.select(lines(rows))
 
 
+def profile_datasets(
+    spark: SparkSession, tables: Mapping[str, DataFrame], specs: Mapping[str, DatasetSpec]
+) -> tuple[DataFrame, DataFrame]:
+    """(quality report, schema check) of all tables. One without a spec is profiled too: its rows, nulls and duplicates."""
+    report = None
+    for name, df in tables.items():
+        part = quality_report(df, specs.get(name) or DatasetSpec(name, (), "", ()))
+        report = part if report is None else report.unionByName(part)
+    return report, schema_check(((n, df, specs.get(n)) for n, df in tables.items()), spark)
+
+
 def null_profile(df: DataFrame, dataset: str) -> DataFrame:
     """(dataset, column, total_rows, n_null) for every column, in one aggregate."""
     df = nan_to_null(df)

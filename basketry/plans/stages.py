@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.operators import evaluate, feature_store, holdout, profile, quality, recommend
-from basketry.operators.integrity import require_clean
 from basketry.plans import prepare, warehouse
 from basketry.sources import landing, zones
 from basketry.sources.files import SEQ, read_payloads
@@ -41,30 +40,29 @@ def ingest(spark: SparkSession, sources: Mapping[str, str], lake: str, date: str
 
 
 def validate(spark: SparkSession, lake: str) -> tuple[DataFrame, DataFrame]:
-    """(quality report, gate): profile each dataset's latest landing, promote what passes."""
-    tables = {name: landing.read_latest(spark, f"{lake}/raw/{name}") for name in zones.existing(spark, f"{lake}/raw", DATASETS)}
-    report = None
-    for name, df in tables.items():
-        part = quality.quality_report(df.drop(SEQ), DATASETS[name])
-        report = part if report is None else report.unionByName(part)
-    if report is None:
+    """(quality report, gate): profile each dataset's latest landing, promote what passes.
+
+    A dataset without a contract lacks no column and breaks no rule; its duplicates still decide.
+    """
+    tables = {name: landing.read_latest(spark, f"{lake}/raw/{name}") for name in landing.landed(spark, f"{lake}/raw")}
+    if not tables:
         raise FileNotFoundError(f"no landed dataset under {lake}/raw")
-    schema = quality.schema_check(((n, df, DATASETS[n]) for n, df in tables.items()), spark)
+    report, schema = quality.profile_datasets(spark, {name: df.drop(SEQ) for name, df in tables.items()}, DATASETS)
     zones.write_table(report, f"{lake}/reports", "quality")
-    report = spark.read.parquet(f"{lake}/reports/quality")
+    report = zones.require_tables(spark, f"{lake}/reports", ["quality"])["quality"]
     gate = quality.gate(schema, report)
     zones.promote(tables, gate, f"{lake}/validated")
     return report, gate
 
 
 def prepare_all(spark: SparkSession, lake: str) -> list[str]:
-    """Prepare every validated dataset; one that is absent is skipped."""
-    done = zones.existing(spark, f"{lake}/validated", PREPARERS)
-    for name in done:
-        df = zones.read_table(spark, f"{lake}/validated", name)
+    """Prepare every validated dataset; one that is absent is skipped. The processed tables change as one set."""
+    ready = {}
+    for name, df in zones.require_tables(spark, f"{lake}/validated", zones.existing(spark, f"{lake}/validated", PREPARERS)).items():
         order = [SEQ] if SEQ in df.columns else [c for c in df.columns if c != DATASETS[name].key]
-        zones.write_table(PREPARERS[name](df, order).drop(SEQ), f"{lake}/processed", name)
-    return done
+        ready[name] = PREPARERS[name](df, order).drop(SEQ)
+    zones.write_tables(ready, f"{lake}/processed")
+    return list(ready)
 
 
 def explore(spark: SparkSession, lake: str) -> dict[str, DataFrame]:
@@ -79,18 +77,9 @@ def explore(spark: SparkSession, lake: str) -> dict[str, DataFrame]:
 
 
 def load_warehouse(spark: SparkSession, lake: str) -> DataFrame:
-    """Build the star schema, check every constraint, write it, return the table counts.
-
-    The tables are staged before the audits: they are built once, and the
-    warehouse changes only when all constraints hold.
-    """
+    """Build the star schema, check every constraint, write it, return the table counts."""
     inputs = zones.require_tables(spark, f"{lake}/processed", ["users", "products", "reviews", "sessions"])
-    for name, df in warehouse.build(**inputs).items():
-        zones.write_table(df, f"{lake}/staging", name)
-    staged = zones.require_tables(spark, f"{lake}/staging", TRAIN_INPUTS)
-    require_clean(warehouse.audits(staged))
-    for name, df in staged.items():
-        zones.write_table(df, f"{lake}/warehouse", name)
+    warehouse.load(spark, warehouse.build(**inputs), f"{lake}/warehouse")
     return zones.table_counts(zones.require_tables(spark, f"{lake}/warehouse", TRAIN_INPUTS))
 
 
@@ -112,11 +101,11 @@ def train(spark: SparkSession, lake: str, run_id: str, k: int = 5) -> DataFrame:
     zones.write_table(content, f"{lake}/recommendations", "content")
     lists = {
         "popularity": recommend.recommend_popular(t["dim_users"], t["dim_products"], k),
-        "content_tfidf": spark.read.parquet(f"{lake}/recommendations/content"),
+        "content_tfidf": zones.require_tables(spark, f"{lake}/recommendations", ["content"])["content"],
     }
     report = evaluate.compare_models(held, lists, k)
     zones.write_table(report, f"{lake}/reports", "evaluation")
-    report = spark.read.parquet(f"{lake}/reports/evaluation")
+    report = zones.require_tables(spark, f"{lake}/reports", ["evaluation"])["evaluation"]
     evaluate.metric_rows(report, run_id).write.mode("append").parquet(f"{lake}/reports/metrics")
     evaluate.run_summary(kept, held, run_id, k).write.mode("append").parquet(f"{lake}/reports/runs")
     # One row per model: the same report for readers without Spark.
@@ -152,8 +141,7 @@ def run_all(
     """All stages in order; returns the model report. Chart datasets and the stage audit are stored under ``reports``."""
     ingest(spark, sources, lake, date, payloads)
     validate(spark, lake)
-    for name, chart in explore(spark, lake).items():
-        zones.write_table(chart, f"{lake}/reports", f"chart_{name}")
+    zones.write_tables({f"chart_{name}": chart for name, chart in explore(spark, lake).items()}, f"{lake}/reports")
     prepare_all(spark, lake)
     load_warehouse(spark, lake)
     materialize_features(spark, lake, version, at)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.operators import integrity
+from basketry.operators.integrity import require_clean
+from basketry.sources import commits
 from basketry.operators.aggregates import product_features, user_features
 
 # The warehouse contract.
@@ -55,6 +57,17 @@ def audits(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return found
 
 
+def load(spark: SparkSession, tables: dict[str, DataFrame], root: str) -> int:
+    """Write the star schema under ``root`` and return the number of its record.
+
+    The tables are written once, as versions that no reader sees, and audited there; only when all
+    constraints hold does a record make them the warehouse, all three at once.
+    """
+    staged = commits.stage(tables, root)
+    require_clean(audits({name: spark.read.parquet(f"{root}/{path}") for name, path in staged.items()}))
+    return commits.commit(spark, root, staged)
+
+
 def _conform(df: DataFrame, types: dict[str, str]) -> DataFrame:
     absent = {c: F.lit(None) for c in types if c not in df.columns}
     return integrity.conform(df.withColumns(absent) if absent else df, types)

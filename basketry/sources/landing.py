@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.sources.files import payload_item_count, read_csv
-from basketry.sources.publish import folders, replace_parquet
+from basketry.sources.publish import folders, replace_folder, replace_parquet
 from basketry.specs import DatasetSpec
 
 DATE = "ingest_date"
@@ -33,6 +33,12 @@ def land(df: DataFrame, path: str, date: str | Column | None = None) -> None:
         replace_parquet(df, f"{path}/{DATE}={date or utc_date()}")
 
 
+def landed(spark: SparkSession, root: str) -> list[str]:
+    """Names of the datasets under ``root`` that have a landing, ascending; from listings, no file is opened."""
+    names = [n for n in folders(spark, root, "") if n[0] not in "_."]
+    return [n for n in names if folders(spark, f"{root}/{n}", f"{DATE}=")]
+
+
 def read_latest(spark: SparkSession, path: str) -> DataFrame:
     """The rows of the greatest date as they were landed: with its own columns, without the date.
 
@@ -45,9 +51,9 @@ def read_latest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def land_payloads(payloads: DataFrame, path: str, date: str | None = None) -> None:
-    """Keep fetched JSON responses as they came, under their date."""
-    dated = payloads.select("payload", F.lit(date or utc_date()).alias(DATE))
-    dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DATE).text(path)
+    """Keep fetched JSON responses as they came, under their date; also a day without any replaces what it had."""
+    texts = payloads.select("payload")
+    replace_folder(payloads.sparkSession, lambda new: texts.write.text(new), f"{path}/{DATE}={date or utc_date()}")
 
 
 def ingest(

@@ -106,7 +106,7 @@ def test_warehouse_features_and_training(spark, prepared):
     assert registry.count() == 12 and registry.where("latest_version = 'v1'").count() == 12
     report = {r.model: r for r in stages.train(spark, prepared, "run1").collect()}
     assert set(report) == {"popularity", "content_tfidf"} and report["popularity"].n_users == 15
-    stored = spark.read.parquet(f"{prepared}/recommendations/content")
+    stored = zones.read_table(spark, f"{prepared}/recommendations", "content")
     assert stored.groupBy("user_id").count().where("count != 5").isEmpty() and stored.select("user_id").distinct().count() == 20
     assert spark.read.parquet(f"{prepared}/reports/metrics").count() == 6
     assert rows(spark.read.parquet(f"{prepared}/reports/runs")) == [("run1", "per-user holdout", 5, 45, 15, 15)]
