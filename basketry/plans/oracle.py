@@ -447,6 +447,27 @@ def build() -> dict[str, str]:
         f"'{v.join_key}' AS join_key, '{f}' AS feature, '{t}' AS feature_type"
         for v in STORE_VIEWS for f, t in v.features
     )
+    q["feature_repeated_keys"] = with_views(
+        ["v_reviews"],
+        " UNION ALL ".join(
+            f"SELECT 'last_review' AS feature_view, CAST(product_id AS VARCHAR) AS entity_id, '{f}' AS attribute_name, "
+            f"coalesce(CAST(arg_max_null({f}, review_id) AS VARCHAR), 'None') AS attribute_value, 'r{n}' AS feature_version, "
+            f"'2024-01-0{n + 1}T00:00:00' AS materialized_at FROM v_reviews WHERE review_id % 2 = {n} GROUP BY product_id"
+            for n in (0, 1) for f in ("rating", "user_id")
+        )
+        # Products without an odd review keep what the first batch gave them: of one time, the greatest value.
+        + "".join(
+            f" UNION ALL SELECT 'last_review', CAST(product_id AS VARCHAR), '{f}', max(coalesce(CAST({f} AS VARCHAR), 'None')), 'r1', "
+            f"'2024-01-02T00:00:00' FROM v_reviews GROUP BY product_id HAVING count(*) FILTER (review_id % 2 = 1) = 0"
+            for f in ("rating", "user_id")
+        ),
+    )
+    q["audit_feature_key"] = with_views(
+        ["v_reviews"],
+        "SELECT 'batch' AS table_name, CAST(sum(2 * n) AS BIGINT) AS n_rows, CAST(2 * count(*) FILTER (n > 1) AS BIGINT) AS n_broken "
+        "FROM sizes UNION ALL SELECT 'store', CAST(2 * count(*) AS BIGINT), CAST(0 AS BIGINT) FROM sizes",
+        "sizes AS (SELECT product_id, count(*) AS n FROM v_reviews GROUP BY 1)",
+    )
     q["feature_registry"] = with_views(
         STORE_INPUTS,
         f"SELECT d.*, l.last_materialized_at, l.latest_version FROM ({declared}) d LEFT JOIN (SELECT feature_view, "

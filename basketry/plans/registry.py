@@ -377,7 +377,7 @@ def feature_unpivot(spark, d):
     return feature_store.unpivot_views(store_tables(spark, d), STORE_VIEWS, "v1", "2024-01-01T00:00:00")
 
 
-def written_store(spark, d):
+def written_path(spark, d):
     """v1 of both views, v2 of users, then v1 again for the users with a gender, renamed."""
     path = work_path(spark, "features")
     tables = store_tables(spark, d)
@@ -391,27 +391,64 @@ def written_store(spark, d):
     feature_store.write_features(
         feature_store.unpivot_view(renamed, STORE_USERS, "v1", "2024-01-03T00:00:00"), path
     )
-    return feature_store.read_features(spark, path)
+    return path
 
 
 @query
 def feature_upsert(spark, d):
-    return written_store(spark, d)
+    return feature_store.read_features(spark, written_path(spark, d))
 
 
 @query
 def feature_lookup_version(spark, d):
-    return feature_store.lookup_version(written_store(spark, d), "v1", "user_features")
+    return feature_store.read_version(spark, written_path(spark, d), "v1", "user_features")
 
 
 @query
 def feature_lookup_latest(spark, d):
-    return feature_store.lookup_latest(written_store(spark, d))
+    return feature_store.latest(spark, written_path(spark, d))
 
 
 @query
 def feature_registry(spark, d):
-    return feature_store.registry(written_store(spark, d), STORE_VIEWS, spark)
+    current = feature_store.read_current(spark, written_path(spark, d)).select("feature_view", F.inline("features"))
+    return feature_store.registry(current, STORE_VIEWS, spark)
+
+
+def repeated_batch(spark, d):
+    """Every review as a materialisation of its product: the later review's rating and user count."""
+    view_ = FeatureView("last_review", "reviews", "product_id", "Last review", (("rating", "REAL"), ("user_id", "TEXT")))
+    reviews = view(spark, d, "v_reviews")
+    parts = [
+        feature_store.unpivot_view(reviews.where(f"review_id % 2 = {n}"), view_, f"r{n}", f"2024-01-0{n + 1}T00:00:00", order=["review_id"])
+        for n in (0, 1)
+    ]
+    return union(parts), feature_store.unpivot_view(reviews, view_, "r1", "2024-01-02T00:00:00")
+
+
+@query
+def feature_repeated_keys(spark, d):
+    """A store fed with batches that repeat keys, in which the last row of a key counts."""
+    path = work_path(spark, "features")
+    ordered, loose = repeated_batch(spark, d)
+    feature_store.write_features(loose, path)
+    feature_store.write_features(ordered, path)
+    return feature_store.read_features(spark, path)
+
+
+@query
+def audit_feature_key(spark, d):
+    """Rows and broken keys of a batch that repeats keys, and of the store it is written to."""
+    path = work_path(spark, "features")
+    _, loose = repeated_batch(spark, d)
+    feature_store.write_features(loose, path)
+    tables = {"batch": loose, "store": feature_store.read_features(spark, path)}
+    return union([
+        df.agg(F.count(F.lit(1)).alias("n_rows")).join(
+            integrity.primary_key(df, feature_store.KEYS).agg(F.count(F.lit(1)).alias("n_broken"))
+        ).select(F.lit(name).alias("table_name"), "n_rows", "n_broken")
+        for name, df in tables.items()
+    ])
 
 
 # --- recommenders ------------------------------------------------------------------------

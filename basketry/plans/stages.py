@@ -83,11 +83,14 @@ def load_warehouse(spark: SparkSession, lake: str) -> DataFrame:
     return zones.table_counts(zones.require_tables(spark, f"{lake}/warehouse", TRAIN_INPUTS))
 
 
-def materialize_features(spark: SparkSession, lake: str, version: str, at: str) -> DataFrame:
-    """Write both feature views under ``version`` and return the registry."""
+def materialize_features(spark: SparkSession, lake: str, version: str | None = None, at: str | None = None) -> DataFrame:
+    """Write both feature views under ``version`` (default: the time) and return the registry."""
+    version, at = version or feature_store.new_version(), at or feature_store.now()
     tables = zones.require_tables(spark, f"{lake}/warehouse", ["dim_users", "dim_products"])
-    feature_store.write_features(feature_store.unpivot_views(tables, FEATURE_VIEWS, version, at), f"{lake}/features")
-    return feature_store.registry(feature_store.read_features(spark, f"{lake}/features"), FEATURE_VIEWS, spark)
+    path = f"{lake}/features"
+    feature_store.write_features(feature_store.unpivot_views(tables, FEATURE_VIEWS, version, at), path)
+    current = feature_store.read_current(spark, path).select("feature_view", F.inline("features"))
+    return feature_store.registry(current, FEATURE_VIEWS, spark)
 
 
 def train(spark: SparkSession, lake: str, run_id: str, k: int = 5) -> DataFrame:

@@ -98,7 +98,7 @@ def vacuum(spark: SparkSession, root: str, keep: int = 2, min_age_hours: float =
     """
     found = numbers(spark, root)
     kept = [record for n in found[-keep:] if (record := _record(spark, root, n))]
-    named = {path for record in kept for path in record["tables"].values()}
+    named = {"/".join(path.split("/")[:2]) for record in kept for path in record["tables"].values()}  # a table may be a part of a version
     place, fs = filesystem(spark, f"{root}/{VERSIONS}")
     if not kept or not fs.exists(place):
         return []
