@@ -7,14 +7,14 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.operators.impute import present
+from basketry.operators.impute import known, present
 
 # A dictionary is broadcast only when its estimated size is under this.
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def label_encode(df: DataFrame, columns: Mapping[str, str], max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
-    """Add for each column its code: 0-based rank among the sorted distinct values, null = -1.
+    """Add for each column its code: 0-based rank among the sorted distinct values, null and NaN = -1.
 
     ``columns`` maps a column to its code column. One pass sizes all
     dictionaries; small ones are broadcast, large ones are sorted and joined by
@@ -26,6 +26,7 @@ def label_encode(df: DataFrame, columns: Mapping[str, str], max_bytes: int = MAX
         small = sizes[column] <= max_bytes
         codes = small_dictionary(df, column) if small else large_dictionary(df, column)
         codes = codes.toDF("_value", code)
+        # NaN is not among the values, so it finds no code.
         joined = out.join(F.broadcast(codes) if small else codes, out[column] == codes["_value"], "left")
         out = joined.drop("_value").withColumn(code, F.coalesce(F.col(code), F.lit(-1)).cast("int"))
     return out.select(*df.columns, *columns.values())
@@ -36,14 +37,18 @@ def dictionary_sizes(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
     aggregates: list[Column] = []
     for c in columns:
         text = F.col(c).cast("string")
-        aggregates += [F.approx_count_distinct(c), F.max(F.octet_length(text))]
+        aggregates += [F.approx_count_distinct(known(df, c)), F.max(F.octet_length(text))]
     row = df.agg(*(a.alias(f"s{i}") for i, a in enumerate(aggregates))).first()
     return {c: int(row[2 * i] * ((row[2 * i + 1] or 0) + 48)) for i, c in enumerate(columns)}
 
 
 def small_dictionary(df: DataFrame, column: str) -> DataFrame:
-    """(value, code) of a column whose dictionary fits one row."""
-    values = df.agg(F.array_sort(F.collect_set(column)).alias("v"))
+    """(value, code) of a column whose dictionary fits one row.
+
+    Distinct values are folded first: one task gets each value once, not a set from every map task.
+    """
+    distinct = df.select(known(df, column).alias("v")).where("v IS NOT NULL").distinct()
+    values = distinct.agg(F.array_sort(F.collect_list("v")).alias("v"))
     return values.select(F.posexplode("v").alias("code", "value")).select("value", "code")
 
 
@@ -59,7 +64,7 @@ def large_dictionary(df: DataFrame, column: str) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     ordered = (
-        df.select(F.col(column).alias("value")).where(F.col(column).isNotNull()).distinct().orderBy("value")
+        df.select(known(df, column).alias("value")).where("value IS NOT NULL").distinct().orderBy("value")
         .withColumn("id", F.monotonically_increasing_id())
         .checkpoint()
     )
@@ -97,5 +102,5 @@ def clip_at_zero(x: Column) -> Column:
 
 
 def log_scale(df: DataFrame, columns: Mapping[str, str]) -> DataFrame:
-    """ln(1 + x) with negatives taken as 0."""
-    return df.withColumns({out: F.log1p(clip_at_zero(F.col(c))) for c, out in columns.items()})
+    """ln(1 + x) with negatives taken as 0; null and NaN give null."""
+    return df.withColumns({out: F.log1p(clip_at_zero(present(c))) for c, out in columns.items()})

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
 from basketry.functions.literals import name
@@ -35,6 +36,11 @@ def present(column: str) -> Column:
     return F.when(~F.isnan(F.col(column).cast("double")), F.col(column))
 
 
+def known(df: DataFrame, column: str) -> Column:
+    """The column with NaN as null where its type has NaN; text stays as it is."""
+    return present(column) if isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType)) else F.col(column)
+
+
 def median_column(df: DataFrame, column: str, n_distinct: int | None = None) -> Column:
     """The exact median of ``column`` (null when there is no value; NaN is none), as a column.
 

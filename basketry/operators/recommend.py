@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from basketry.functions.text import joined_text
 from basketry.operators import tfidf
+from basketry.operators.impute import known
 from basketry.operators.scoring import top_scores
 from basketry.session import materialize, spread
 
@@ -17,8 +18,9 @@ TEXT_COLUMNS = ("product_name", "category", "description")
 
 
 def popular_products(products: DataFrame, k: int = 5) -> DataFrame:
-    """The k products with most interactions, then best mean rating, then lowest id."""
-    return products.orderBy(F.desc("item_interaction_count"), F.desc("item_avg_rating"), PRODUCT).limit(k)
+    """The k products with most interactions, then best mean rating, then lowest id; a mean that is null or NaN comes last."""
+    rated = products.withColumn("item_avg_rating", known(products, "item_avg_rating"))
+    return rated.orderBy(F.desc("item_interaction_count"), F.desc("item_avg_rating"), PRODUCT).limit(k)
 
 
 def popular_array(products: DataFrame, k: int) -> Column:

@@ -2,14 +2,8 @@
 
 from __future__ import annotations
 
-import glob
-import os
-import zipfile
-
-import pyspark
-
 from basketry.functions.coercion import EMBEDDED_NUMBER, NULL_TOKENS
-from basketry.functions.text import TERM_PATTERN, extend_stop_words
+from basketry.functions.text import ENGLISH_STOP_WORDS, TERM_PATTERN
 from basketry.plans.adapters import DATASET_VIEWS, DUCKDB_K, REVIEW_ORDER, TABLES, view_sql
 from basketry.plans.registry import PAYLOAD_SQL, STORE_PRODUCTS, STORE_USERS, STORE_VIEWS
 from basketry.specs import DATASETS
@@ -18,11 +12,7 @@ PLAIN_NUMBER = r"^[-+]?((\d+\.?\d*|\.\d+)([eE][-+]?\d+)?|(?i:inf|infinity))$"
 
 
 def stop_words() -> list[str]:
-    """The stop list without a session: Spark's English words from its own jar."""
-    home = os.environ.get("SPARK_HOME") or os.path.dirname(pyspark.__file__)
-    (jar,) = glob.glob(os.path.join(home, "jars", "spark-mllib_*.jar"))
-    with zipfile.ZipFile(jar) as z:
-        return extend_stop_words(z.read("org/apache/spark/ml/feature/stopwords/english.txt").decode().split())
+    return ENGLISH_STOP_WORDS
 
 
 def with_views(names, body: str, *ctes: str) -> str:

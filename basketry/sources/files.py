@@ -41,6 +41,12 @@ def read_payloads(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(F.col("value").alias("payload"))
 
 
+def parsed_item_count(value: Column) -> Column:
+    """As ``payload_item_count``, of a parsed response: a VARIANT that may be null."""
+    nested = F.size(F.try_variant_get(value, "$.products", "array<variant>"))
+    return F.coalesce(nested, F.size(F.try_variant_get(value, "$", "array<variant>")), F.lit(0)).cast("long")
+
+
 def payload_item_count(payload: Column) -> Column:
     """Entries of a response: the length of its ``products`` array or of a top-level array, else 0."""
     nested = F.json_array_length(F.get_json_object(payload, "$.products"))

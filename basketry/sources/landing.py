@@ -56,6 +56,16 @@ def land_payloads(payloads: DataFrame, path: str, date: str | None = None) -> No
     replace_folder(payloads.sparkSession, lambda new: texts.write.text(new), f"{path}/{DATE}={date or utc_date()}")
 
 
+def land_parsed(payloads: DataFrame, path: str, date: str | None = None) -> None:
+    """Land JSON responses in two lanes: parsed as a VARIANT, or as they came where they do not parse.
+
+    One column of the two is null in each row; the other columns of ``payloads`` stay.
+    """
+    parsed = payloads.withColumn("value", F.try_parse_json("payload"))
+    unparsed = F.when(F.col("value").isNull(), F.col("payload")).alias("unparsed")
+    land(parsed.select(*(c for c in payloads.columns if c != "payload"), "value", unparsed), path, date or utc_date())
+
+
 def ingest(
     spark: SparkSession, sources: Iterable[tuple[str, DataFrame | str]], raw_root: str, date: str,
     specs: Mapping[str, DatasetSpec] | None = None,
