@@ -233,6 +233,7 @@ def build() -> dict[str, str]:
     """One SQL text per registered query."""
     text = text_ctes()
     q: dict[str, str] = {}
+    rated = "CASE WHEN {0} THEN NULL ELSE {1} END"
     tokens = ", ".join(f"'{t}'" for t in NULL_TOKENS)
 
     q["scan_csv_roundtrip"] = with_views(
@@ -252,6 +253,30 @@ def build() -> dict[str, str]:
         "WHEN json_type(payload, '$.products') = 'ARRAY' THEN json_array_length(payload, '$.products') ELSE 0 END) AS BIGINT) AS n_items "
         f"FROM ({payloads}) GROUP BY 1"
     )
+    items = (
+        "CASE WHEN json_type({p}) = 'ARRAY' THEN json_array_length({p}) "
+        "WHEN json_type({p}, '$.products') = 'ARRAY' THEN json_array_length({p}, '$.products') ELSE 0 END"
+    )
+    q["payload_landing"] = " UNION ALL ".join(
+        f"SELECT '{day}' AS ingest_date, count(*) AS n_payloads, CAST(sum({items.format(p='payload')}) AS BIGINT) AS n_items "
+        f"FROM ({payloads}) WHERE event_type = '{kind}'"
+        for day, kind in (("2024-01-01", "view"), ("2024-01-02", "click"))
+    )
+    numbered = payloads.replace("SELECT event_type, props,", "SELECT event_id, event_type, props,").replace("SELECT event_type,", "SELECT event_id, event_type,")
+    cut = "CASE WHEN event_id % 10 = 0 THEN left(payload, length(payload) - 1) ELSE payload END"
+    q["payload_lanes"] = (
+        "SELECT event_type, count(*) FILTER (json_valid(p)) AS n_parsed, count(*) FILTER (NOT json_valid(p)) AS n_unparsed, "
+        f"CAST(sum(CASE WHEN json_valid(p) THEN {items.format(p='p')} ELSE 0 END) AS BIGINT) AS n_items, "
+        "CAST(sum(length(p)) FILTER (NOT json_valid(p)) AS BIGINT) AS unparsed_chars "
+        f"FROM (SELECT event_type, {cut} AS p FROM ({numbered})) GROUP BY 1"
+    )
+    q["published_sets"] = " UNION ALL ".join(
+        f"SELECT CAST({step} AS INTEGER) AS step, CAST({record} AS INTEGER) AS record, '{t}' AS table_name, count(*) AS n_rows FROM {t} WHERE {where}"
+        for step, record, t, where in (
+            (0, 1, "orders", "true"), (0, 1, "customer", "true"), (1, 1, "orders", "true"), (1, 1, "customer", "true"),
+            (2, 2, "orders", "true"), (2, 2, "customer", "c_custkey % 3 = 0"),
+        )
+    )
     q["ingest_metrics"] = " UNION ALL ".join(
         [f"SELECT '{t}' AS dataset, true AS ok, count(*) AS n_rows FROM {t}" for t in TABLES]
         + ["SELECT 'returns', false, CAST(0 AS BIGINT)"]
@@ -369,6 +394,108 @@ def build() -> dict[str, str]:
         f"FROM kept_reviews t {join}",
         *REVIEWS_READY,
     )
+    zone = {"users": ("v_users", "user_id", 14), "products": ("v_products", "product_id", 10), "reviews": ("kept_reviews", "review_id", 10),
+            "sessions": ("v_sessions", "session_id", 5)}
+    q["processed_zone"] = with_views(
+        ["v_users", "v_products", "v_reviews", "v_sessions"],
+        " UNION ALL ".join(
+            f"SELECT '{n}' AS dataset, count(*) AS n_rows, count(DISTINCT {key}) AS n_keys, CAST(sum({key}) AS BIGINT) AS key_sum, "
+            f"CAST({columns} AS INTEGER) AS n_columns FROM {source}"
+            for n, (source, key, columns) in zone.items()
+        ),
+        *REVIEWS_READY,
+    )
+    q["warehouse_users"] = with_views(
+        ["v_users", "v_reviews", "v_sessions"],
+        "SELECT CAST(u.user_id AS VARCHAR) AS user_id, round(coalesce(u.age, (SELECT median(age) FROM v_users)), 6) AS age, "
+        "coalesce(u.gender, 'Unknown') AS gender, u.city, u.membership, CAST(coalesce(year(TRY_CAST(u.signup_date AS DATE)), 0) AS BIGINT) AS signup_year, "
+        "coalesce(a.n, 0) AS user_activity_frequency, round(coalesce(m.m, 0.0), 6) AS user_avg_rating "
+        "FROM v_users u LEFT JOIN activity a USING (user_id) LEFT JOIN user_means m USING (user_id)",
+        *REVIEWS_READY, *USER_STATS,
+    )
+    q["warehouse_products"] = with_views(
+        ["v_products", "v_reviews"],
+        "SELECT CAST(product_id AS VARCHAR) AS product_id, product_name, category, brand, "
+        "round(coalesce(price, (SELECT median(price) FROM v_products)), 6) AS price, round(item_avg_rating, 6) AS item_avg_rating, "
+        "item_interaction_count, description FROM product_stats",
+        *REVIEWS_READY, PRODUCT_STATS,
+    )
+    q["warehouse_interactions"] = with_views(
+        ["v_reviews"],
+        "SELECT CAST(t.review_id AS VARCHAR) AS review_id, CAST(t.user_id AS VARCHAR) AS user_id, CAST(t.product_id AS VARCHAR) AS product_id, "
+        f"t.rating, CAST({item.split(' AS ')[0]} AS BIGINT) AS sentiment_encoded, strftime(t.review_date, '%Y-%m-%d') AS review_date FROM kept_reviews t {join}",
+        *REVIEWS_READY,
+    )
+    # The declared columns, by hand: (column, type, SQL for a value that is present).
+    stored = {
+        "dim_users": ("v_users", "user_id:string age:double gender:string city:string membership:string signup_year:bigint "
+                      "user_activity_frequency:bigint user_avg_rating:double", {}),
+        "dim_products": ("v_products", "product_id:string product_name:string category:string brand:string price:double item_avg_rating:double "
+                         "item_interaction_count:bigint description:string", {"category": "category"}),
+        "fact_interactions": ("kept_reviews", "review_id:string user_id:string product_id:string rating:double sentiment_encoded:bigint "
+                              "review_date:string", {"review_date": "review_date"}),
+    }
+    q["warehouse_column_types"] = with_views(
+        ["v_users", "v_products", "v_reviews"],
+        " UNION ALL ".join(
+            f"SELECT '{t}' AS table_name, '{c}' AS \"column\", '{kind}' AS type, count({have.get(c, '1')}) AS n_values FROM {source}"
+            for t, (source, columns, have) in stored.items() for c, kind in (x.split(":") for x in columns.split())
+        ),
+        *REVIEWS_READY,
+    )
+    q["gate_without_contracts"] = with_views(
+        ["v_users"],
+        f"SELECT dataset, schema_ok, dup = 0 AND bad = 0 AS quality_ok, schema_ok AND dup = 0 AND bad = 0 AS promoted, "
+        "CASE WHEN schema_ok AND dup = 0 AND bad = 0 THEN n ELSE 0 END AS n_promoted FROM ("
+        + " UNION ALL ".join(
+            f"SELECT '{n}' AS dataset, {ok} AS schema_ok, {duplicates(source, columns)} AS dup, {bad} AS bad, (SELECT count(*) FROM {source}) AS n"
+            for n, source, columns, ok, bad in (
+                ("nation", "nation", "*", "true", "0"), ("region", "region", "*", "true", "0"),
+                ("lines", "lineitem", "l_orderkey, l_returnflag", "true", "0"),
+                ("users", "v_users", "*", "false", "(SELECT count(*) FROM v_users WHERE email IS NULL OR NOT contains(email, '@'))"),
+            )
+        )
+        + ")",
+    )
+    dwell = rated.format("event_id % 5 = 0", "dwell_time_sec")
+    q["nan_log_normalize"] = with_views(
+        ["v_clickstream"], f"SELECT event_id, round(ln(1 + greatest({dwell}, CASE WHEN {dwell} IS NOT NULL THEN 0.0 END)), 6) AS dwell_log FROM v_clickstream"
+    )
+    q["nan_label_encode"] = with_views(
+        ["v_dirty"],
+        "SELECT review_id, coalesce(code, -1) AS rating_code FROM holed LEFT JOIN (SELECT r, CAST(row_number() OVER (ORDER BY r) - 1 AS INTEGER) AS code "
+        "FROM (SELECT DISTINCT r FROM holed WHERE r IS NOT NULL)) USING (r)",
+        f"holed AS (SELECT review_id, {rated.format('review_id % 4 = 0', 'rating')} AS r FROM v_dirty)",
+    )
+    q["date_losses"] = with_views(
+        ["v_users"],
+        "SELECT 'signup_date' AS \"column\", (SELECT CASE WHEN TRY_CAST(signup_date AS DATE) IS NOT NULL THEN 'yyyy-MM-dd' END FROM v_users "
+        "WHERE signup_date IS NOT NULL ORDER BY user_id LIMIT 1) AS date_format, count(signup_date) AS n_values, "
+        "count(*) FILTER (signup_date IS NOT NULL AND TRY_CAST(signup_date AS DATE) IS NULL) AS n_lost FROM v_users",
+    )
+    q["stage_difference"] = with_views(
+        ["v_users"],
+        "SELECT user_id, 'changed' AS kind, concat_ws(',', CASE WHEN age IS NULL THEN 'age' END, CASE WHEN gender IS NULL THEN 'gender' END) "
+        "AS changed FROM v_users WHERE age IS NULL OR gender IS NULL",
+    )
+    q["exploration_summary"] = with_views(
+        ["v_reviews", "v_clickstream"],
+        "SELECT n AS n_reviews, (SELECT count(*) FROM v_clickstream) AS n_events, u AS n_users, p AS n_items, round(1 - n / (CAST(u AS DOUBLE) * p), 6) AS sparsity "
+        "FROM (SELECT count(*) AS n, count(DISTINCT user_id) AS u, count(DISTINCT product_id) AS p FROM v_reviews)",
+    )
+    q["nan_histogram"] = with_views(
+        ["v_reviews"],
+        "SELECT CAST(b AS INTEGER) AS bin, round(lo + b * (hi - lo) / 4, 6) AS low, round(lo + (b + 1) * (hi - lo) / 4, 6) AS high, "
+        "(SELECT count(*) FROM holed WHERE rating IS NOT NULL AND least(floor((rating - lo) / (hi - lo) * 4), 3) = b) AS n "
+        "FROM range(4) t(b), (SELECT min(rating) AS lo, max(rating) AS hi FROM holed)",
+        f"holed AS (SELECT {rated.format('review_id % 7 = 0', 'rating')} AS rating FROM v_reviews)",
+    )
+    q["nan_popularity_topk"] = with_views(
+        ["v_products", "v_reviews"],
+        "SELECT product_id, round(m, 6) AS item_avg_rating FROM (SELECT product_id, CASE WHEN product_id % 3 = 0 THEN NULL ELSE item_avg_rating END AS m "
+        "FROM product_stats) ORDER BY m DESC NULLS LAST, product_id LIMIT 200",
+        *REVIEWS_READY, PRODUCT_STATS,
+    )
     q["prepare_sessions"] = with_views(
         ["v_sessions"],
         "SELECT session_id, user_id, x AS session_duration_sec, CASE WHEN hi > lo THEN round((x - lo) / (hi - lo), 6) ELSE 0.0 END "
@@ -526,6 +653,20 @@ def build() -> dict[str, str]:
         *REVIEWS_READY, PRODUCT_STATS, *split_ctes("kept_reviews"),
         f"popular_lists AS (SELECT user_id, rank, product_id FROM v_users CROSS JOIN {top} WHERE rank <= 100)",
     )
+    q["recommendation_artifact"] = with_views(
+        [*recommender, "v_sessions"],
+        "SELECT user_id, rank, product_id, round(score, 6) AS score FROM content_lists WHERE rank <= 3 AND user_id IN (SELECT user_id FROM v_sessions)",
+        *text, *content,
+    )
+    q["metric_log"] = with_views(
+        ["v_users", "v_products", "v_reviews"],
+        " UNION ALL ".join(
+            f"SELECT 'run-{k}' AS run_id, 'popularity' AS model, CAST({k} AS INTEGER) AS k, '{m}' AS metric, {m} AS value FROM {metrics('popular_lists', k)}"
+            for k in (50, 100) for m in ("precision", "recall", "ndcg")
+        ),
+        *REVIEWS_READY, PRODUCT_STATS, *split_ctes("kept_reviews"),
+        f"popular_lists AS (SELECT user_id, rank, product_id FROM v_users CROSS JOIN {top} WHERE rank <= 100)",
+    )
     q["eval_report"] = with_views(
         recommender,
         f"SELECT 'popularity' AS model, CAST(20 AS INTEGER) AS k, * FROM {metrics('popular_lists', 20)} UNION ALL "

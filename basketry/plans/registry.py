@@ -8,14 +8,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.functions import coercion
-from basketry.functions.temporal import DATE_FORMAT
+from basketry.functions.temporal import DATE_FORMAT, date_losses as lost_dates
 from basketry.operators import (
-    aggregates, dedup, encode, evaluate, feature_store, holdout, impute, integrity, profile, quality, recommend, tfidf,
+    aggregates, dedup, encode, evaluate, feature_store, fingerprint, holdout, impute, integrity, profile, quality, recommend,
+    tfidf,
 )
 from basketry.plans import prepare, warehouse
 from basketry.plans.adapters import DATASET_VIEWS, REVIEW_ORDER, TABLES, table, view
 from basketry.session import materialize, work_path
-from basketry.sources import files, landing, zones
+from basketry.sources import commits, files, landing, zones
 from basketry.specs import DATASETS, DatasetSpec, FeatureView
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,6 +105,32 @@ def json_payload_items(spark, d):
     )
 
 
+@query
+def payload_landing(spark, d):
+    """Responses landed as they came on two days, the second of them twice; what each day holds."""
+    path = work_path(spark, "payloads")
+    sql = PAYLOAD_SQL.replace("{k_expr}", "get_json_object(props, '$.k')")
+    payloads = spark.sql(sql, events=table(spark, d, "events"))
+    for day_, kind in (("2024-01-01", "view"), ("2024-01-02", "view"), ("2024-01-02", "click")):
+        landing.ingest_payloads(payloads.where(F.col("event_type") == kind), path, day_)
+    landed = spark.read.text(path).groupBy(F.col("ingest_date").cast("string").alias("ingest_date"))
+    return landed.agg(F.count(F.lit(1)).alias("n_payloads"), F.sum(files.payload_item_count(F.col("value"))).alias("n_items"))
+
+
+@query
+def payload_lanes(spark, d):
+    """The same responses, every tenth cut short, parsed when they are landed; those that do not parse are kept and counted."""
+    path = work_path(spark, "payloads")
+    sql = PAYLOAD_SQL.replace("{k_expr}", "get_json_object(props, '$.k')").replace("SELECT event_type, props,", "SELECT event_id, event_type, props,")
+    payloads = spark.sql(sql.replace("SELECT event_type,", "SELECT event_id, event_type,"), events=table(spark, d, "events"))
+    cut = F.when(F.col("event_id") % 10 == 0, F.expr("left(payload, length(payload) - 1)")).otherwise(F.col("payload"))
+    landing.land_parsed(payloads.withColumn("payload", cut), path, "2024-01-01")
+    return landing.read_latest(spark, path).groupBy("event_type").agg(
+        F.count("value").alias("n_parsed"), F.count("unparsed").alias("n_unparsed"),
+        F.sum(files.parsed_item_count(F.col("value"))).alias("n_items"), F.sum(F.length("unparsed")).alias("unparsed_chars"),
+    )
+
+
 @query
 def ingest_metrics(spark, d):
     root = work_path(spark, "raw")
@@ -116,6 +143,87 @@ def warehouse_counts(spark, d):
     return zones.table_counts(star_schema(spark, d))
 
 
+@query
+def published_sets(spark, d):
+    """What readers see after each change of a set: one that succeeds, one whose second table fails, one of a single table."""
+    root = work_path(spark, "zone")
+    orders, customer = table(spark, d, "orders").select("o_orderkey"), table(spark, d, "customer").select("c_custkey")
+    broken = customer.select(F.when(F.col("c_custkey") > 0, F.raise_error(F.lit("stopped"))).cast("long").alias("c_custkey"))
+    steps = [
+        {"orders": orders, "customer": customer},
+        {"orders": orders.where("o_orderkey % 2 = 0"), "customer": broken},
+        {"customer": customer.where("c_custkey % 3 = 0")},
+    ]
+    seen = []
+    for step, tables in enumerate(steps):
+        try:
+            zones.write_tables(tables, root)
+        except Exception as error:
+            if "stopped" not in str(error):
+                raise
+        now = zones.table_counts(zones.require_tables(spark, root, ["orders", "customer"]))
+        seen.append(now.select(F.lit(step).alias("step"), F.lit(commits.head(spark, root)[0]).alias("record"), "*"))
+    return union(seen)
+
+
+@query
+def processed_zone(spark, d):
+    """The prepared tables, written to their zone as one set and read back by name."""
+    root = work_path(spark, "processed")
+    zones.write_tables({
+        "users": users_ready(spark, d), "products": products_ready(spark, d), "reviews": reviews_ready(spark, d),
+        "sessions": sessions_ready(spark, d),
+    }, root)
+    stored = zones.require_tables(spark, root, ["users", "products", "reviews", "sessions"])
+    return union([
+        df.agg(
+            F.count(F.lit(1)).alias("n_rows"), F.count_distinct(DATASETS[name].key).alias("n_keys"),
+            F.sum(F.col(DATASETS[name].key)).alias("key_sum"), F.lit(len(df.columns)).alias("n_columns"),
+        ).select(F.lit(name).alias("dataset"), "*")
+        for name, df in stored.items()
+    ])
+
+
+def loaded_warehouse(spark, d):
+    """The star schema, loaded under its constraints and read back."""
+    root = work_path(spark, "warehouse")
+    warehouse.load(spark, star_schema(spark, d), root)
+    return zones.require_tables(spark, root, list(warehouse.PRIMARY_KEYS))
+
+
+@query
+def warehouse_users(spark, d):
+    df = loaded_warehouse(spark, d)["dim_users"]
+    return df.select(
+        "user_id", r6("age"), "gender", "city", "membership", "signup_year", "user_activity_frequency", r6("user_avg_rating")
+    )
+
+
+@query
+def warehouse_products(spark, d):
+    df = loaded_warehouse(spark, d)["dim_products"]
+    return df.select(
+        "product_id", "product_name", "category", "brand", r6("price"), r6("item_avg_rating"), "item_interaction_count", "description"
+    )
+
+
+@query
+def warehouse_interactions(spark, d):
+    df = loaded_warehouse(spark, d)["fact_interactions"]
+    return df.select("review_id", "user_id", "product_id", "rating", "sentiment_encoded", F.col("review_date").substr(1, 10).alias("review_date"))
+
+
+@query
+def warehouse_column_types(spark, d):
+    """The stored type of each warehouse column and how many values it holds after its cast."""
+    return union([
+        df.agg(*(F.count(c).alias(c) for c in df.columns))
+        .select(F.inline(F.array(*(F.struct(F.lit(c).alias("column"), F.lit(t).alias("type"), F.col(c).alias("n_values")) for c, t in df.dtypes))))
+        .select(F.lit(name).alias("table_name"), "*")
+        for name, df in loaded_warehouse(spark, d).items()
+    ])
+
+
 # --- quality -----------------------------------------------------------------
 
 
@@ -197,6 +305,26 @@ def validation_gate(spark, d):
     return gate.join(staged_rows, "dataset", "left").na.fill({"n_promoted": 0})
 
 
+@query
+def gate_without_contracts(spark, d):
+    """Landed tables that no contract names: judged by their duplicates, promoted or held back, counted."""
+    lake = work_path(spark, "lake")
+    tables = {
+        "nation": table(spark, d, "nation"), "region": table(spark, d, "region"),
+        "lines": table(spark, d, "lineitem").select("l_orderkey", "l_returnflag"), "users": view(spark, d, "v_users"),
+    }
+    for name, df in tables.items():
+        landing.land(df, f"{lake}/raw/{name}", "2024-01-01")
+    found = {name: landing.read_latest(spark, f"{lake}/raw/{name}") for name in landing.landed(spark, f"{lake}/raw")}
+    report, schema = quality.profile_datasets(spark, found, DATASETS)
+    gate = materialize(quality.gate(schema, report), "gate")
+    zones.promote(found, gate, f"{lake}/validated")
+    staged = zones.existing(spark, f"{lake}/validated", found)
+    counts = zones.table_counts({n: zones.read_table(spark, f"{lake}/validated", n) for n in staged})
+    promoted = counts.select(F.col("table_name").alias("dataset"), F.col("n_rows").alias("n_promoted"))
+    return gate.join(promoted, "dataset", "left").na.fill({"n_promoted": 0})
+
+
 # --- preparation ---------------------------------------------------------------
 
 
@@ -237,6 +365,29 @@ def label_encode(spark, d):
     return encode.label_encode(view(spark, d, "v_users"), columns).select("user_id", *columns.values())
 
 
+def with_nan(df, column, key, m):
+    """``df`` with NaN in place of every m-th value."""
+    return df.withColumn(column, F.when(F.col(key) % m == 0, float("nan")).otherwise(F.col(column)))
+
+
+@query
+def nan_log_normalize(spark, d):
+    df = encode.log_scale(with_nan(view(spark, d, "v_clickstream"), "dwell_time_sec", "event_id", 5), {"dwell_time_sec": "dwell_log"})
+    return df.select("event_id", r6("dwell_log"))
+
+
+@query
+def nan_label_encode(spark, d):
+    df = encode.label_encode(with_nan(view(spark, d, "v_dirty"), "rating", "review_id", 4), {"rating": "rating_code"})
+    return df.select("review_id", "rating_code")
+
+
+@query
+def date_losses(spark, d):
+    """Values that the date format of a column's first value turns into null."""
+    return lost_dates(view(spark, d, "v_users"), ["signup_date"], ["user_id"])
+
+
 USER_ORDER = ("age", "gender", "membership", "customer_segment", "email", "signup_date")
 
 
@@ -464,6 +615,13 @@ def popularity_topk(spark, d):
     return top.select("product_id", "item_interaction_count", r6("item_avg_rating"))
 
 
+@query
+def nan_popularity_topk(spark, d):
+    """Products by one mean rating only, of which every third is NaN."""
+    stats = with_nan(product_stats(spark, d), "item_avg_rating", "product_id", 3).withColumn("item_interaction_count", F.lit(1))
+    return recommend.popular_products(stats, 200).select("product_id", r6(impute.present("item_avg_rating"), "item_avg_rating"))
+
+
 @query
 def popularity_all_users(spark, d):
     return recommend.recommend_popular(view(spark, d, "v_users"), product_stats(spark, d), 5)
@@ -547,6 +705,31 @@ def batch_recommend_lookup(spark, d):
     return recommend.lookup(view(spark, d, "v_sessions"), stored, 3)
 
 
+@query
+def recommendation_artifact(spark, d):
+    """Content lists published as a table, then looked up for everyone who had a session."""
+    root = work_path(spark, "recommendations")
+    users, interactions = view(spark, d, "v_users"), view(spark, d, "v_interactions")
+    lists = recommend.recommend_content(users, catalogue(spark, d), interactions, 5, item_model(spark, d))
+    zones.write_table(lists, root, "content")
+    stored = zones.require_tables(spark, root, ["content"])["content"]
+    return recommend.lookup(view(spark, d, "v_sessions"), stored, 3).select("user_id", "rank", "product_id", r6("score"))
+
+
+@query
+def metric_log(spark, d):
+    """Two runs' metrics appended to one log."""
+    path = work_path(spark, "metrics")
+    reviews = materialize(reviews_ready(spark, d), "reviews")
+    _, test = holdout.train_test(reviews, "user_id", "review_date", "review_id")
+    products = materialize(aggregates.product_features(view(spark, d, "v_products"), reviews), "products")
+    for k in (50, 100):
+        lists = recommend.recommend_popular(view(spark, d, "v_users"), products, k)
+        report = evaluate.compare_models(test, {"popularity": lists}, k)
+        evaluate.metric_rows(report, f"run-{k}").write.mode("append").parquet(path)
+    return spark.read.parquet(path).select("run_id", "model", "k", "metric", r6("value"))
+
+
 def rounded_metrics(df):
     return df.select(*(r6(c) if c in ("precision", "recall", "ndcg") else F.col(c) for c in df.columns))
 
@@ -579,6 +762,24 @@ def rating_histogram(spark, d):
     return profile.histogram(view(spark, d, "v_reviews"), "rating", 5).select("bin", r6("low"), r6("high"), "n")
 
 
+@query
+def nan_histogram(spark, d):
+    df = with_nan(view(spark, d, "v_reviews"), "rating", "review_id", 7)
+    return profile.histogram(df, "rating", 4).select("bin", r6("low"), r6("high"), "n")
+
+
+@query
+def exploration_summary(spark, d):
+    df = profile.exploration_summary(view(spark, d, "v_reviews"), view(spark, d, "v_clickstream"))
+    return df.select("n_reviews", "n_events", "n_users", "n_items", r6("sparsity"))
+
+
+@query
+def stage_difference(spark, d):
+    """Users whose cells a preparation changed, and which cells, found by hash trees."""
+    return fingerprint.changed_keys(view(spark, d, "v_users"), users_ready(spark, d), "user_id", ["age", "gender", "membership", "email"])
+
+
 @query
 def item_popularity_top15(spark, d):
     return profile.top_items(view(spark, d, "v_reviews"), "product_id", 15)
