@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from pyspark.storagelevel import StorageLevel
 
 from basketry.functions.literals import name
+from basketry.operators.selection import medians
 
 # The exact percentile keeps one counter per distinct value in its buffer. Up to this many
 # distinct values that buffer is small; beyond it the median is found by bracketing.
@@ -57,10 +58,12 @@ def median_column(df: DataFrame, column: str, n_distinct: int | None = None) ->
 
 
 def median_impute(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Nulls and NaN replaced by the column's exact median; a column without values becomes null."""
-    counts = distinct_estimates(df, columns)
-    filled = {c: F.coalesce(present(c), median_column(df, c, n)) for c, n in zip(columns, counts)}
-    return df.withColumns(filled)
+    """Nulls and NaN replaced by the column's exact median; a column without values becomes null.
+
+    All medians are searched for together (``selection``), whatever the number of columns.
+    """
+    found = medians(df, columns)
+    return df.withColumns({c: F.coalesce(present(c), F.lit(found[c]).cast("double")) for c in columns})
 
 
 def bracketed_median(

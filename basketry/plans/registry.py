@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from basketry.functions import coercion
 from basketry.functions.temporal import DATE_FORMAT, date_losses as lost_dates
 from basketry.operators import (
-    aggregates, dedup, encode, evaluate, feature_store, fingerprint, holdout, impute, integrity, profile, quality, recommend,
+    aggregates, dedup, encode, evaluate, feature_store, fingerprint, heavy, holdout, impute, integrity, profile, quality, recommend,
     tfidf,
 )
 from basketry.plans import prepare, warehouse
@@ -659,6 +659,13 @@ def tfidf_vocabulary(spark, d):
     return rows.select("term", "corpus_freq", "doc_freq", r6("idf"))
 
 
+@query
+def top_terms_sketched(spark, d):
+    """The vocabulary from a sketch of all terms and a recount of the candidates."""
+    items = view(spark, d, "v_items")
+    return tfidf.top_terms(items, recommend.item_text(items), sketch=True)
+
+
 @query
 def tfidf_weights(spark, d):
     return item_model(spark, d).vector_rows().select("product_id", "term", r6("weight"))
@@ -785,6 +792,14 @@ def item_popularity_top15(spark, d):
     return profile.top_items(view(spark, d, "v_reviews"), "product_id", 15)
 
 
+@query
+def item_popularity_sketched(spark, d):
+    """The same list from a sketch and a recount, with the proof that nothing else can be in it."""
+    found = heavy.top_counts(view(spark, d, "v_reviews").select("product_id"), "product_id", 15)
+    proven = found.proof.agg(F.every("proven")).scalar()
+    return found.rows.select(F.col("value").alias("product_id"), "n", proven.alias("proven"))
+
+
 @query
 def matrix_sparsity(spark, d):
     df = profile.matrix_sparsity(view(spark, d, "v_reviews"), "user_id", "product_id")
