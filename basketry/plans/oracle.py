@@ -244,6 +244,14 @@ def build() -> dict[str, str]:
     q["land_partitioned"] = (
         "SELECT strftime(ts, '%Y-%m-%d') AS ingest_date, count(*) AS n_rows, round(sum(value), 6) AS total_value FROM events GROUP BY 1"
     )
+    q["profile_landings"] = " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", count(*) AS n_rows, count(*) - count({c}) AS n_null, {bounds.format('min')} AS low, "
+        f"{bounds.format('max')} AS high, true AS distinct_close, CAST(1 AS INTEGER) AS dates_read FROM events"
+        for c, bounds in (
+            ("event_id", "round(CAST({0}(event_id) AS DOUBLE), 6)"), ("user_id", "round(CAST({0}(user_id) AS DOUBLE), 6)"),
+            ("event_type", "CAST(NULL AS DOUBLE)"), ("value", "round({0}(value), 6)"),
+        )
+    )
     q["latest_partition"] = (
         "SELECT event_id, user_id, event_type, value FROM events WHERE CAST(ts AS DATE) = (SELECT max(CAST(ts AS DATE)) FROM events)"
     )

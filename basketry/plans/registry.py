@@ -16,7 +16,7 @@ from basketry.operators import (
 from basketry.plans import prepare, warehouse
 from basketry.plans.adapters import DATASET_VIEWS, REVIEW_ORDER, TABLES, table, view
 from basketry.session import materialize, work_path
-from basketry.sources import commits, files, landing, zones
+from basketry.sources import commits, files, landing, profiles, zones
 from basketry.specs import DATASETS, DatasetSpec, FeatureView
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,6 +80,29 @@ def land_partitioned(spark, d):
     )
 
 
+@query
+def profile_landings(spark, d):
+    """Events landed by day and profiled twice, the second time with one more day: what the stored states give, and
+    whether distinct counts are within their error."""
+    path, states = work_path(spark, "landing"), work_path(spark, "states")
+    events = table(spark, d, "events").select("event_id", "user_id", "event_type", "value", "ts")
+    day_ = F.date_format("ts", "yyyy-MM-dd")
+    last = events.agg(F.max(day_)).scalar()
+    landing.land(events.where(day_ < last), path, day_)
+    profiles.refresh(spark, path, states)
+    landing.land(events.where(day_ == last), path, day_)
+    n_read = len(profiles.refresh(spark, path, states))
+    exact = union([
+        events.agg(F.count_distinct(c).alias("d")).select(F.lit(c).alias("column"), "d")
+        for c in ("event_id", "user_id", "event_type", "value")
+    ])
+    found = profiles.profile(spark, states).join(exact, "column")
+    close = F.abs(F.col("n_distinct") - F.col("d")) <= F.greatest(F.lit(1.0), F.col("d") * profiles.DISTINCT_ERROR)
+    return found.select(
+        "column", "n_rows", "n_null", r6("low"), r6("high"), close.alias("distinct_close"), F.lit(n_read).alias("dates_read")
+    )
+
+
 @query
 def latest_partition(spark, d):
     path = work_path(spark, "landing")
