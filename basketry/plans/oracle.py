@@ -241,6 +241,10 @@ def build() -> dict[str, str]:
         "SELECT product_id, product_name, category, brand, price, "
         f"CASE WHEN avg_rating NOT IN ({tokens}) THEN avg_rating END AS avg_rating FROM v_products",
     )
+    q["scan_free_text"] = (
+        "SELECT doc_id, md5(t) AS text_md5, CAST(length(t) AS INTEGER) AS n_chars, source FROM "
+        "(SELECT *, CASE WHEN text <> '' THEN replace(text, chr(13) || chr(10), chr(10)) END AS t FROM documents)"
+    )
     q["land_partitioned"] = (
         "SELECT strftime(ts, '%Y-%m-%d') AS ingest_date, count(*) AS n_rows, round(sum(value), 6) AS total_value FROM events GROUP BY 1"
     )

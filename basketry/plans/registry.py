@@ -71,6 +71,16 @@ def scan_csv_roundtrip(spark, d):
     )
 
 
+@query
+def scan_free_text(spark, d):
+    """Documents as CSV with line breaks inside quotes, read back range by range."""
+    path = work_path(spark, "csv")
+    docs = table(spark, d, "documents").select("doc_id", "text", "source")
+    docs.write.options(header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+    df = files.read_csv(spark, path, free_text=True)
+    return df.select(F.col("doc_id").try_cast("long").alias("doc_id"), F.md5("text").alias("text_md5"), F.length("text").alias("n_chars"), "source")
+
+
 @query
 def land_partitioned(spark, d):
     path = work_path(spark, "landing")

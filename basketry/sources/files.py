@@ -7,24 +7,24 @@ from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
 from basketry.functions.coercion import null_tokens_to_null
-
-SEQ = "ingest_seq"
+from basketry.sources.split_csv import SEQ, read_split_csv
 
 
 def read_csv(spark: SparkSession, path: str, free_text: bool = False, sequence: bool = True) -> DataFrame:
     """A headed CSV as text columns, missing-value tokens nulled.
 
-    ``free_text`` allows line breaks inside quotes, which makes a file one task;
-    leave it off for tables without such fields and large files split.
+    ``free_text`` allows line breaks inside quotes; large files are cut into ranges all the same (``split_csv``).
     ``sequence`` adds ``ingest_seq``, which orders rows as the file has them.
     """
-    reader = spark.read.options(header=True, quote='"', escape='"', multiLine=free_text)
+    reader = spark.read.options(header=True, quote='"', escape='"')
     try:
-        df = reader.csv(path)
+        df = read_split_csv(spark, path) if free_text else reader.csv(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"no source file at {path}") from error
         raise
+    if free_text:
+        return null_tokens_to_null(df if sequence else df.drop(SEQ))
     if not sequence:
         return null_tokens_to_null(df)
     # Within one split, ids rise in reading order; splits are ordered by file and offset.
