@@ -63,12 +63,16 @@ WITH d AS (
   JOIN q l ON l.level = 1 AND l.lang IS NOT DISTINCT FROM g.lang AND l.measure = g.measure
   JOIN q e ON e.level = 2 AND e.measure = g.measure
   WHERE g.level = 0
+), w AS (
+  -- A bound takes in the whole bucket that its fence lies in.
+  SELECT lang, source, measure, (fence // width + 1) * width - 1 AS fence
+  FROM (SELECT *, (1 << greatest(length(bin(fence::BIGINT)) - 6, 0))::BIGINT AS width FROM f)
 ), bound AS (
   SELECT lang, source,
          max(greatest(fence, 250)) FILTER (WHERE measure = 'symbols') AS b_symbols,
          max(greatest(fence, 350)) FILTER (WHERE measure = 'dup_lines') AS b_lines,
          max(greatest(fence, 1800)) FILTER (WHERE measure = 'long_words') AS b_long
-  FROM f GROUP BY lang, source
+  FROM w GROUP BY lang, source
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        coalesce(NOT base_failed AND symbols <= b_symbols AND dup_lines <= b_lines AND long_words <= b_long, false) AS kept

@@ -52,7 +52,9 @@ def after_rules(docs):
     def bound(key, k):
         ordered = sorted(bucket(m[k]) for m in groups[key])
         low, high = (next(v for n, v in enumerate(ordered, 1) if 100 * n >= q * len(ordered)) for q in (25, 75))
-        return max(high + 3 * (high - low), (250, 350, 1800)[k])
+        fence = high + 3 * (high - low)
+        width = 1 << max(fence.bit_length() - 6, 0)
+        return max((fence // width + 1) * width - 1, (250, 350, 1800)[k])
 
     out = []
     for i, m in found.items():
