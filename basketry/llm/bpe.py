@@ -22,6 +22,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Callable, Iterator, Sequence
+from functools import cached_property
 from hashlib import sha256
 
 import numpy as np
@@ -48,29 +49,37 @@ class Coder:
 
     def __init__(self, path: str, leaf: int = LEAF) -> None:
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.leaf = leaf
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
-        layout = json.loads(self.library.to_str())
-        cutter = layout["pre_tokenizer"] or {}
-        if layout["normalizer"] or layout["model"]["type"] != "BPE" or cutter.get("type") != "ByteLevel" or cutter["add_prefix_space"]:
+        self.leaf, self.path = leaf, path
+        with open(path, encoding="utf-8") as file:
+            layout = json.load(file)
+        cutter, model, added = layout["pre_tokenizer"] or {}, layout["model"], layout["added_tokens"]
+        if layout["normalizer"] or model["type"] != "BPE" or cutter.get("type") != "ByteLevel" or cutter["add_prefix_space"]:
             raise ValueError(f"{path} is no byte-level BPE vocabulary without a normalizer")
+        if any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in added):
+            raise ValueError(f"{path} has special tokens that reach beyond their string")
         # The file writes each byte as a character: printable Latin-1 as itself, the others from U+0100 on.
         printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         others = [b for b in range(256) if b not in printable]
         byte_of = {chr(b): b for b in printable} | {chr(0x100 + k): b for k, b in enumerate(others)}
-        self.special = {t.content: i for i, t in self.library.get_added_tokens_decoder().items()}
-        vocabulary = self.library.get_vocab(with_added_tokens=False)
-        self.bytes_of = {i: bytes(byte_of[c] for c in t) for t, i in vocabulary.items() if t not in self.special}
+        self.special = {t["content"]: t["id"] for t in added}
+        self.bytes_of = {i: bytes(byte_of[c] for c in t) for t, i in model["vocab"].items() if t not in self.special}
         ranks = {token: i for i, token in self.bytes_of.items()}
         self.fast = tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.bytes_of.update({i: t.encode() for t, i in self.special.items()})
         longest_first = sorted(self.special, key=len, reverse=True)
         self.cut = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if self.special else None
 
+    @cached_property
+    def library(self):
+        """The library's own tokenizer, loaded where a text is long enough to need it."""
+        from tokenizers import Tokenizer
+
+        made = Tokenizer.from_file(self.path)
+        made.no_truncation()
+        made.no_padding()
+        return made
+
     def plain(self, text: str) -> list[int]:
         """The ids of a text without special tokens, in one go."""
         if len(text) < HEAP:
