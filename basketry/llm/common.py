@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,17 @@ def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+def releasing(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """A task function that gives back what Arrow's pool still holds at its end: idle workers wait beside busy ones."""
+
+    @wraps(run)
+    def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+
+    return released
+
+
 def string_column(values: Iterable[str | None]) -> pa.Array:
     return pa.array(values, pa.string())
 
@@ -56,6 +68,7 @@ def append_columns(
     source = hidden or text_column
     schema = T.StructType([df.schema[c] for c in kept] + fields)
 
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = compute(batch.column(source))
@@ -75,6 +88,7 @@ def map_words(
 ) -> DataFrame:
     """Rows that ``emit`` makes from (ids, words) of each chunk of documents; null ids must be gone before."""
 
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
@@ -135,6 +149,7 @@ def split_by_keys(rows: DataFrame, keys: DataFrame | KeyFilter, column: str, log
     schema = rows.schema
 
     def part(wanted: bool) -> DataFrame:
+        @releasing
         def run(batches):
             for b in batches:
                 held = sent.value.may_hold(b.column(name).to_numpy().view(np.uint64))

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.llm.common import binary_column, fresh, map_words, small_batches, split_by_keys
+from basketry.llm.common import binary_column, fresh, map_words, releasing, small_batches, split_by_keys
 from basketry.llm.graph import components
 from basketry.llm.words import LOWER, Words, mix
 from basketry.session import materialize
@@ -68,6 +68,7 @@ def frequent_shingles(docs: DataFrame) -> np.ndarray:
     """A bit for each counter whose count stands out: the shingles of the most documents are in these."""
     per = (1 << SKETCH_BITS) // SKETCH_SHARDS
 
+    @releasing
     def count(batches):
         from basketry.llm.words import SPACE, find_words, text_chunks
 
@@ -80,6 +81,7 @@ def frequent_shingles(docs: DataFrame) -> np.ndarray:
             for k in range(SKETCH_SHARDS):
                 yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), binary_column([parts[k].tobytes()])], names=["shard", "counts"])
 
+    @releasing
     def merge(batches):
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
@@ -124,6 +126,7 @@ def feature_table(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
 
 
 def _prefix_rows(representatives: DataFrame) -> DataFrame:
+    @releasing
     def run(batches):
         for batch in batches:
             keys = [np.frombuffer(x.as_py(), np.int64) for x in batch.column(1)]
@@ -148,6 +151,7 @@ def _bounded(pairs: DataFrame, points: DataFrame) -> DataFrame:
     for x in ("a", "b"):
         pairs = pairs.join(points.select(F.col("doc_id").alias(x), F.col("n").alias(f"n{x}"), F.col("point").alias(f"p{x}")), x)
 
+    @releasing
     def run(batches):
         for batch in batches:
             if len(batch):
@@ -187,6 +191,7 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     for x in ("a", "b"):
         pairs = pairs.join(sets.select(F.col("doc_id").alias(x), F.col("n").alias(f"n{x}"), F.col("fine").alias(f"f{x}")), x)
 
+    @releasing
     def bound(batches):
         for batch in batches:
             columns = [batch.column(c) for c in ("fa", "na", "fb", "nb")]
@@ -202,6 +207,7 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     for x in ("a", "b"):
         left = left.join(sets.select(F.col("doc_id").alias(x), F.col("keys").alias(f"k{x}")), x)
 
+    @releasing
     def verify(batches):
         for batch in batches:
             ok = []
@@ -287,6 +293,7 @@ def _cell_pairs(members: DataFrame) -> DataFrame:
             if len(a):
                 yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
+    @releasing
     def run(batches):
         open_: dict[str, np.ndarray] | None = None
         for batch in batches:

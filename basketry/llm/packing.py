@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from basketry.llm import bpe
+from basketry.llm.common import releasing
 from basketry.session import materialize
 
 CAPACITY = 2048
@@ -42,6 +43,7 @@ SEPARATOR = 0
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of every piece."""
 
+    @releasing
     def run(batches):
         made = bpe.coder(tokenizer)
         for batch in batches:
@@ -202,6 +204,7 @@ def pack(spark: SparkSession, docs: DataFrame, tokenizer: str, capacity: int = C
     ranked = cut.withColumn("nth", nth).join(F.broadcast(bases), ["length", "salt"])  # capacity x SALTS rows at most
     ranked = ranked.select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("base") + F.col("nth")).alias("rank"))
 
+    @releasing
     def run(batches):
         lengths, firsts, _, sequences, offsets = sent.value.T
         index = lengths << 48 | firsts
