@@ -11,6 +11,7 @@ import pytest
 
 from basketry.llm import bpe, merkle, packing, queries, repair
 from basketry.llm.glr import ROLE_GRAMMAR, Automaton, Stacks
+from basketry.llm.oracle import SQL
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 CONVERSATIONS = "conv_id long, turn long, role string, text string"
@@ -321,3 +322,16 @@ def test_repair_of_the_given_conversations(spark, sf_dir):
     df = spark.read.parquet(f"{sf_dir}/conversations.parquet")
     rows = [tuple(r) for r in df.select("conv_id", "turn", "role", "text").collect()]
     assert multiset(queries.op13_conversation_repair(spark, sf_dir).collect()) == multiset(brute_repair(rows))
+
+
+@pytest.mark.parametrize("name", ["op11_merkle_manifest", "op13_conversation_repair"])
+def test_query_equals_sql(spark, sf_dir, name):
+    duckdb = pytest.importorskip("duckdb")
+    con = duckdb.connect()
+    for table in ("documents", "conversations"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
+    got = queries.QUERIES[name](spark, sf_dir)
+    wanted = con.execute(SQL[name])
+    names = [c[0] for c in wanted.description]
+    assert sorted(names) == sorted(got.columns)
+    assert multiset(got.select(*names).collect()) == multiset(wanted.fetchall())
