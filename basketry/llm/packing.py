@@ -7,10 +7,12 @@ counts, whatever the number of documents:
 
 1. lengths over capacity / 16 are put in ``groups`` groups of equal cardinality and
    rounded up to the largest of their group;
-2. configurations of these few sizes are optimised: the fullest configuration that
-   holds the largest size left (a subset-sum table) is used as often as sizes allow;
+2. configurations of these few sizes are optimised: a linear program over all of them,
+   solved by column generation, says how often each is used, rounded down;
 3. the actual lengths take the places of the rounded ones;
-4. short lengths fill what is left, each in the tightest room that holds it.
+4. short lengths and sizes left over fill the rest, each in the tightest room that holds it.
+
+Plain best fit of all lengths is planned too; the plan with fewer sequences counts.
 
 The plan says which ranks of each length go where. Ranks are numbered in salted
 parts of a length, so that a frequent length is no single task. Pieces find their
@@ -35,8 +37,10 @@ from basketry.llm.common import releasing
 from basketry.session import materialize
 
 CAPACITY = 2048
-GROUPS = 256
+GROUPS = 96
 SALTS = 32
+#: Columns that may enter the linear program; a bound on planning time, the plan is valid after any number.
+ROUNDS = 4000
 SEPARATOR = 0
 
 
@@ -83,39 +87,65 @@ class _Supply:
         return out
 
 
-def _fullest(sizes: list[int], left: list[int], capacity: int) -> list[int]:
-    """Group numbers (repeated) of the fullest configuration that holds the largest size left."""
-    first = next(k for k, n in enumerate(left) if n)
-    room = capacity - sizes[first]
-    reach = np.zeros(room + 1, bool)
-    reach[0] = True
-    by = np.full(room + 1, -1)
-    for k in range(first, len(sizes)):
+def _best_configuration(sizes: list[int], prices: np.ndarray, capacity: int) -> np.ndarray:
+    """How many of each size the most valuable configuration holds (an unbounded knapsack by weight)."""
+    value, pick = np.zeros(capacity + 1), np.full(capacity + 1, -1)
+    for k in np.flatnonzero(prices > 1e-12).tolist():
         s = sizes[k]
-        for _ in range(min(left[k] - (k == first), room // s)):
-            new = np.flatnonzero(reach[: room + 1 - s] & ~reach[s:]) + s
-            # One more copy of s: only from sums that were reachable before this copy.
-            if not len(new):
+        for _ in range(capacity // s):
+            new = value[:-s] + prices[k]
+            better = new > value[s:] + 1e-12
+            if not better.any():
                 break
-            reach[new] = True
-            by[new] = k
-        if reach[room]:
-            break
-    at = int(np.flatnonzero(reach)[-1])
-    chosen = [first]
-    while at:
-        chosen.append(int(by[at]))
-        at -= sizes[int(by[at])]
+            value[s:][better] = new[better]
+            pick[s:][better] = k
+    chosen, at = np.zeros(len(sizes)), capacity
+    while pick[at] >= 0:
+        chosen[pick[at]] += 1
+        at -= sizes[pick[at]]
     return chosen
 
 
-def plan(histogram: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS) -> tuple[list[tuple[int, int, int, int, int]], int]:
-    """(length, first rank, count, first sequence, offset) rows, and the number of sequences."""
-    used: dict[int, int] = {}
-    bins: list[tuple[int, int, list[tuple[int, int]]]] = []  # count, room left, [(length, first rank)]
+def _optimised(sizes: list[int], counts: list[int], capacity: int) -> list[tuple[list[int], int]]:
+    """(numbers of each size, times) of configurations that hold all sizes in the fewest sequences, times rounded down.
+
+    Column generation: a simplex basis of as many configurations as sizes, into which the
+    configuration of the greatest value at the basis' prices enters until none is worth more than one sequence.
+    """
+    basis = np.diag([float(capacity // s) for s in sizes])
+    times = np.array(counts, float) / np.diag(basis)
+    for _ in range(ROUNDS):
+        prices = np.linalg.solve(basis.T, np.ones(len(sizes)))
+        column = _best_configuration(sizes, prices, capacity)
+        if column @ prices <= 1 + 1e-7:
+            break
+        step = np.linalg.solve(basis, column)
+        ratio = np.where(step > 1e-9, times / np.where(step > 1e-9, step, 1), np.inf)
+        out = int(np.argmin(ratio))
+        basis[:, out] = column
+        times = np.maximum(np.linalg.solve(basis, np.array(counts, float)), 0)
+    left, made = np.array(counts), []
+    for j in np.argsort(-times):
+        column = basis[:, j].astype(int)
+        n = int(min(np.floor(times[j] + 1e-6), np.min(left[column > 0] // column[column > 0])))
+        if n > 0:
+            left = left - n * column
+            made.append((column.tolist(), n))
+    return made
+
+
+Bins = list[tuple[int, int, list[tuple[int, int]]]]  # count, room left, [(length, first rank)]
+
+
+def _grouped(histogram: dict[int, int], capacity: int, groups: int) -> tuple[list[int], list[list[tuple[int, int]]]]:
+    """Rounded sizes, longest first, and the (length, count) runs of each: large lengths in groups of equal cardinality.
+
+    No more lengths than groups are sizes as they are.
+    """
     large = sorted((x for x in histogram.items() if x[0] > capacity // 16 and x[1]), reverse=True)
-    total = sum(n for _, n in large)
-    each = max(1, -(-total // groups))
+    if len(large) <= groups:
+        return [length for length, _ in large], [[x] for x in large]
+    each = max(1, -(-sum(n for _, n in large) // groups))
     grouped: list[list[tuple[int, int]]] = []
     room = 0
     for length, n in large:
@@ -126,25 +156,25 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, groups: int = GROU
             m = min(n, room)
             grouped[-1].append((length, m))
             n, room = n - m, room - m
-    # Groups of one and the same length are one size; rounding up to each group's largest.
     sizes: list[int] = []
     supply: list[list[tuple[int, int]]] = []
-    for g in grouped:
+    for g in grouped:  # groups of one and the same length are one size
         if sizes and sizes[-1] == g[0][0]:
             supply[-1] += g
         else:
             sizes.append(g[0][0])
             supply.append(g)
-    left = [sum(n for _, n in g) for g in supply]
+    return sizes, supply
+
+
+def _configurations(histogram: dict[int, int], capacity: int, groups: int) -> tuple[Bins, dict[int, int]]:
+    """Sequences of the optimised configurations, and how many of each length they hold."""
+    sizes, supply = _grouped(histogram, capacity, groups)
+    used: dict[int, int] = {}
+    bins: Bins = []
     hands = [_Supply(g, used) for g in supply]
-    while any(left):
-        chosen = _fullest(sizes, left, capacity)
-        need = {k: chosen.count(k) for k in chosen}
-        times = min(left[k] // c for k, c in need.items())
-        slots = []
-        for k in chosen:
-            slots.append(hands[k].take(times))
-            left[k] -= times
+    for numbers, times in _optimised(sizes, [sum(n for _, n in g) for g in supply], capacity) if sizes else []:
+        slots = [hands[k].take(times) for k, c in enumerate(numbers) for _ in range(c)]
         cuts = sorted({0, *(c for s in slots for c in np.cumsum([m for _, _, m in s]).tolist())})
         for a, b in zip(cuts, cuts[1:], strict=False):
             content = []
@@ -156,11 +186,16 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, groups: int = GROU
                         break
                     at += m
             bins.append((b - a, capacity - sum(x for x, _ in content), content))
-    # Best fit of the short ones, on runs of sequences with equal room.
+    return bins, used
+
+
+def _best_fit(bins: Bins, histogram: dict[int, int], used: dict[int, int], capacity: int) -> None:
+    """Adds what ``used`` leaves over, longest first, each to the tightest room that holds it; equal rooms are one run."""
     rooms = sorted((r, i) for i, (_, r, _) in enumerate(bins) if r)
-    for length, n in sorted((x for x in histogram.items() if x[0] <= capacity // 16), reverse=True):
-        rank = 0
-        while n:
+    for length, n in sorted(histogram.items(), reverse=True):
+        rank = used.get(length, 0)
+        n -= rank
+        while n > 0:
             at = bisect_left(rooms, (length, -1))
             if at == len(rooms):
                 bins.append((max(1, n // (capacity // length)), capacity, []))
@@ -178,8 +213,24 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, groups: int = GROU
             if r - fit * length:
                 insort(rooms, (r - fit * length, i))
             rank, n = rank + fit * m, n - fit * m
+
+
+def plan(histogram: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS) -> tuple[list[tuple[int, int, int, int, int]], int]:
+    """(length, first rank, count, first sequence, offset) rows, and the number of sequences.
+
+    Optimised configurations lose up to a sequence a group by rounding, so on few pieces plain best fit
+    decreasing can be the better; the plan with fewer sequences counts.
+    """
+    bound = -(-sum(k * n for k, n in histogram.items()) // capacity)
+    best: Bins | None = None
+    for bins, used in (_configurations(histogram, capacity, groups), ([], {})):
+        _best_fit(bins, histogram, used, capacity)
+        if best is None or sum(b[0] for b in bins) < sum(b[0] for b in best):
+            best = bins
+        if sum(b[0] for b in best) <= bound:
+            break
     rows, sequence = [], 0
-    for count, _, content in bins:
+    for count, _, content in best or []:
         offset = 0
         for length, rank in content:
             rows.append((length, rank, count, sequence, offset))

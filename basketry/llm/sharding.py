@@ -3,9 +3,10 @@
 Documents are ordered by (hash of the text, doc_id), so equal texts are neighbours
 and sizes are spread evenly whatever the order of ids. Boundaries are refined in
 rounds: every round counts, in one aggregate over the narrow key table, the exact
-bytes between all probes; a boundary is done when it meets the tolerance or its
-interval holds one key. A group of equal texts is cut only where its size forbids
-otherwise. The rows are exchanged once, when the boundaries stand.
+bytes and rows between all probes; a boundary is done when it meets the tolerance or its
+interval holds one row or key. One more count moves each boundary to the nearer end of the
+group of equal texts it lies in, where that is within ``GROUP_SLACK`` of a shard's share from its place: groups of up to
+twice that stay whole, larger ones may be cut. The rows are exchanged once, when the boundaries stand.
 
 The driver holds probes and their counts only, bounded by shards x probes.
 
@@ -20,17 +21,19 @@ from bisect import bisect_right
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketry.llm.common import unsigned
+from basketry.llm.common import fresh, unsigned
 from basketry.session import materialize
 
 ROW_BYTES = 16
 PROBES = 16
 #: Of a shard's share, how far a boundary may lie from its place.
 TOLERANCE = 0.001
+#: Of a shard's share, how far a boundary may be moved to keep equal texts together.
+GROUP_SLACK = 0.05
 _HALF = 1 << 63
 _TOP = (1 << 128) - 1
 
@@ -66,13 +69,27 @@ def _with_bucket(keys: DataFrame, probes: list[int], name: str) -> DataFrame:
     return keys.mapInArrow(run, schema)
 
 
-def splitters(keys: DataFrame, shards: int, tolerance: float = TOLERANCE, probes: int = PROBES) -> list[int]:
+def _below(keys: DataFrame, probes: list[int]) -> list[tuple[int, int]]:
+    """Bytes and rows of the keys under each probe (ascending)."""
+    if not probes:
+        return []
+    counted = _with_bucket(keys, probes, "b").groupBy("b").agg(F.sum("size").alias("n"), F.count("*").alias("c")).collect()
+    sums = {r["b"]: (r["n"], r["c"]) for r in counted}
+    below, run, rows = [], 0, 0
+    for b in range(len(probes)):
+        n, c = sums.get(b, (0, 0))
+        run, rows = run + n, rows + c
+        below.append((run, rows))
+    return below
+
+
+def splitters(keys: DataFrame, shards: int, tolerance: float = TOLERANCE, probes: int = PROBES, group_slack: float = GROUP_SLACK) -> list[int]:
     """shards - 1 boundaries (128-bit keys); a row belongs to the shard numbered by the boundaries at or below its key."""
-    total = keys.agg(F.sum("size")).first()[0] or 0
+    total, rows = keys.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
     slack = total / shards * tolerance
     wanted = [total * s / shards for s in range(1, shards)]
-    # Of each boundary: interval of keys, and bytes below its ends.
-    state = [(0, _TOP, 0, total) for _ in wanted]
+    # Of each boundary: interval of keys, bytes and rows below its ends.
+    state = [(0, _TOP, (0, 0), (total, rows)) for _ in wanted]
     found: list[int | None] = [None] * len(wanted)
     while any(x is None for x in found):
         tries = set()
@@ -80,30 +97,48 @@ def splitters(keys: DataFrame, shards: int, tolerance: float = TOLERANCE, probes
             if done is None:
                 tries.update(p for p in (low + (up - low) * k // (probes + 1) for k in range(1, probes + 1)) if low < p < up)
         ordered = sorted(tries)
-        sums = {}
-        if ordered:
-            counted = _with_bucket(keys, ordered, "b").groupBy("b").agg(F.sum("size").alias("n")).collect()
-            sums = {r["b"]: r["n"] for r in counted}
-        below, run = [], 0
-        for b in range(len(ordered)):
-            run += sums.get(b, 0)
-            below.append(run)  # bytes of keys under ordered[b]
+        below = _below(keys, ordered)
         for s, target in enumerate(wanted):
             if found[s] is not None:
                 continue
             low, up, at_low, at_up = state[s]
             for p, n in zip(ordered, below, strict=True):
                 if low < p < up:
-                    if n <= target:
+                    if n[0] <= target:
                         low, at_low = p, n
                     else:
                         up, at_up = p, n
                         break
             state[s] = (low, up, at_low, at_up)
-            near = (low, at_low) if target - at_low <= at_up - target else (up, at_up)
-            if abs(near[1] - target) <= slack or up - low <= 1:
+            near = (low, at_low[0]) if target - at_low[0] <= at_up[0] - target else (up, at_up[0])
+            if abs(near[1] - target) <= slack or up - low <= 1 or at_up[1] - at_low[1] <= 1:
                 found[s] = near[0]
-    return [max(found[: s + 1]) for s in range(len(found))]
+    cuts = _whole_groups(keys, found, wanted, total / shards * group_slack)
+    return [max(cuts[: s + 1]) for s in range(len(cuts))]
+
+
+def _whole_groups(keys: DataFrame, cuts: list[int], wanted: list[float], slack: float) -> list[int]:
+    """Each boundary at the nearer end of the group (rows of one text hash) it lies in, if that end is within ``slack`` of its place."""
+    ends = [((c >> 64) << 64, min((c >> 64) + 1 << 64, _TOP)) for c in cuts]
+    ordered = sorted({p for e in ends for p in e})
+    at = {p: n for p, (n, _) in zip(ordered, _below(keys, ordered), strict=True)}
+    moved = []
+    for cut, (low, up), target in zip(cuts, ends, wanted, strict=True):
+        near = min(low, up, key=lambda p: abs(at[p] - target))
+        moved.append(near if abs(at[near] - target) <= slack or at[low] == at[up] else cut)
+    return moved
+
+
+def _id_key() -> Column:
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(-_HALF))
+
+
+def _runs(cuts: list[int], runs: int) -> tuple[list[int], list[int]]:
+    """Boundaries of the shards and of ``runs`` pieces of each, and the shard of every piece."""
+    ends = [0, *cuts, _TOP + 1]
+    inner = {low + (up - low) * k // runs for low, up in zip(ends, ends[1:], strict=False) for k in range(1, runs)}
+    marks = sorted({*cuts, *inner})
+    return marks, [0, *[bisect_right(cuts, m) for m in marks]]
 
 
 def key_table(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -114,7 +149,7 @@ def key_table(spark: SparkSession, docs: DataFrame) -> DataFrame:
         (F.octet_length(text) + ROW_BYTES).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
         F.xxhash64(text).alias("h"),
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(-_HALF)).alias("i"),
+        _id_key().alias("i"),
     )
     return materialize(narrow, "shard_keys")
 
@@ -127,15 +162,12 @@ def assign(spark: SparkSession, docs: DataFrame, shards: int = 40, runs: int = 8
     """
     keys = key_table(spark, docs)
     cuts = splitters(keys, shards, tolerance)
-    ends = [0, *cuts, _TOP + 1]
-    inner = sorted({low + (up - low) * k // runs for low, up in zip(ends, ends[1:], strict=False) for k in range(1, runs)})
-    marks = sorted({*cuts, *inner})
-    shard_of = [bisect_right(cuts, m) for m in marks]
+    marks, shard_of = _runs(cuts, runs)
     placed = _with_bucket(keys, marks, "run")
     counts = {r["run"]: r["n"] for r in placed.groupBy("run").agg(F.count("*").alias("n")).collect()}
     table, shard, offset = [], 0, 0
     for run in range(len(marks) + 1):
-        now = 0 if run == 0 else shard_of[run - 1]
+        now = shard_of[run]
         shard, offset = now, 0 if now != shard else offset
         table.append((run, shard, offset))
         offset += counts.get(run, 0)
@@ -155,8 +187,18 @@ def digest(spark: SparkSession, docs: DataFrame, shards: int = 40) -> DataFrame:
     )
 
 
-def write_shards(docs: DataFrame, placed: DataFrame, path: str) -> None:
-    """The documents as one folder per shard: one exchange of the texts, rows in slot order. doc_id must be unique."""
-    joined = docs.join(placed.select("doc_id", "shard", "slot"), "doc_id")
-    shards = placed.select(F.max("shard")).first()[0]
-    joined.repartition((shards or 0) + 1, "shard").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+def write_shards(spark: SparkSession, docs: DataFrame, path: str, shards: int = 40, runs: int = 8) -> None:
+    """The documents as one folder per shard, in files of one piece of its hash range each, rows in slot order.
+
+    Rows are placed by their own keys, so repeated and null ids stay as they are; the texts are exchanged once.
+    """
+    cuts = splitters(key_table(spark, docs), shards)
+    marks, shard_of = _runs(cuts, runs)
+    names = [fresh(n, docs.columns) for n in ("h", "i", "run")]
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.xxhash64(text).alias("h"), _id_key().alias("i"))
+    table = spark.createDataFrame([(r, shard_of[r]) for r in range(len(marks) + 1)], "run int, shard int")
+    placed = _with_bucket(rows, marks, "run").join(F.broadcast(table), "run")  # shards x runs rows
+    placed = placed.select("row.*", *[F.col(a).alias(b) for a, b in zip(("h", "i", "run"), names, strict=True)], "shard")
+    ordered = placed.repartition(len(marks) + 1, names[2]).sortWithinPartitions("shard", names[2], names[0], names[1])
+    ordered.drop(*names).write.partitionBy("shard").parquet(path)
