@@ -5,8 +5,9 @@ A window is ``length`` consecutive words of an item; an item of fewer words is
 one window as a whole. A document word inside any occurrence of a window is
 hit. Keys of windows are looked up first, hits are then compared word by word.
 
-The hash set is broadcast in blocks of at most ``block_bytes`` of item text;
-a larger benchmark takes one scan per block. Nothing is shuffled.
+Windows are broadcast as sorted arrays of keys and places in the item text, in blocks of
+``block_bytes`` of text and ids; longer items are cut with an overlap. A larger benchmark takes one pass per block
+within the same tasks, which then hold all blocks: about five bytes for each byte of the benchmark. Documents are not shuffled.
 
 Null or empty text has no words and no hits. A null item text has no windows; a
 null item_id hits words but is not listed. Repeated documents are judged alike;
@@ -16,6 +17,9 @@ like a result column is replaced.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,39 +34,97 @@ BLOCK_BYTES = 16 << 20
 _FILTER_BITS = 22
 
 
+class _Windows(NamedTuple):
+    """All windows of one number of words, by key."""
+
+    keys: np.ndarray  # ascending
+    places: np.ndarray  # the first word of each
+    filter: np.ndarray  # of low key bits, true where a key has them
+
+    def runs(self, wanted: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(position in ``wanted``, first and end row) where a key is held."""
+        likely = np.flatnonzero(self.filter[wanted & np.uint64(len(self.filter) - 1)])
+        low, up = (np.searchsorted(self.keys, wanted[likely], side) for side in ("left", "right"))
+        held = low < up
+        return zip(likely[held].tolist(), low[held].tolist(), up[held].tolist(), strict=True)
+
+
 class WindowIndex:
-    """The windows of some items, by length and key."""
+    """The windows of some items: sorted keys, and places in the items' words, held once with one blank between.
+
+    About five bytes for each byte of ordinary item text.
+    """
 
     def __init__(self, items: list[tuple[str | None, str]], length: int) -> None:
-        self.by_length: dict[int, tuple[np.ndarray, dict[int, dict[bytes, set[str | None]]]]] = {}
-        texts = pa.array([t for _, t in items], pa.string())
-        for a, _, data, offsets in text_chunks(texts):
+        self.ids = [i for i, _ in items]
+        parts, sizes = [], []
+        for _, _, data, offsets in text_chunks(pa.array([t for _, t in items], pa.string())):
             words = find_words(LOWER[data], offsets, NOT_ALNUM)
-            for n in {min(length, int(c)) for c in words.counts if c}:
-                at, keys = words.windows(n)
-                owners = words.documents_of(at)
-                seen, known = self.by_length.setdefault(n, (np.zeros(1 << _FILTER_BITS, bool), {}))
-                for k, key, doc in zip(at.tolist(), keys.tolist(), owners.tolist(), strict=True):
-                    if min(length, int(words.counts[doc])) == n:
-                        seen[key & ((1 << _FILTER_BITS) - 1)] = True
-                        known.setdefault(key, {}).setdefault(_phrase(words, k, n), set()).add(items[a + doc][0])
-
-    def hits(self, words) -> list[tuple[int, int, set[str | None]]]:
+            joined = [words.joined(k) for k in range(len(offsets) - 1)]
+            parts += joined
+            sizes += map(len, joined)
+        self.text = b"".join(parts)
+        offsets = np.append(0, np.cumsum(np.array(sizes, np.int64)))
+        words = find_words(np.frombuffer(self.text, np.uint8), offsets, NOT_ALNUM)
+        small = np.uint32 if len(self.text) < 1 << 32 else np.int64
+        self.starts, self.ends, self.first = words.starts.astype(small), words.ends.astype(small), words.first
+        self.windows: dict[int, _Windows] = {}
+        for n in {min(length, int(c)) for c in np.unique(words.counts) if c}:
+            at, keys = words.windows(n)
+            own = np.minimum(words.counts, length)[words.documents_of(at)] == n
+            at, keys = at[own], keys[own]
+            order = np.argsort(keys, kind="stable")
+            bits = np.zeros(1 << min(_FILTER_BITS, (8 * len(keys)).bit_length()), bool)
+            bits[keys & np.uint64(len(bits) - 1)] = True
+            self.windows[n] = _Windows(keys[order], at[order].astype(small), bits)
+
+    def hits(self, words) -> Iterator[tuple[int, int, set[str | None]]]:
         """(first word, number of words, items) of every occurrence."""
-        found = []
-        for n, (seen, known) in self.by_length.items():
+        for n, held in self.windows.items():
             at, keys = words.windows(n)
-            likely = np.flatnonzero(seen[keys & np.uint64((1 << _FILTER_BITS) - 1)])
-            for k, key in zip(at[likely].tolist(), keys[likely].tolist(), strict=True):
-                if key in known and (items := known[key].get(_phrase(words, k, n))):
-                    found.append((k, n, items))
-        return found
+            for k, low, up in held.runs(keys):
+                k = int(at[k])
+                phrase = _phrase(words, k, n)
+                places = [p for p in held.places[low:up].tolist() if self.text[self.starts[p] : self.ends[p + n - 1]] == phrase]
+                if places:
+                    yield k, n, {self.ids[i] for i in np.searchsorted(self.first, places, "right") - 1}
 
 
 def _phrase(words, k: int, n: int) -> bytes:
     return b" ".join(words.data[s:e].tobytes() for s, e in zip(words.starts[k : k + n].tolist(), words.ends[k : k + n].tolist(), strict=True))
 
 
+def _parts(text: str, length: int, block_bytes: int) -> Iterator[str]:
+    """``text``, or pieces of about ``block_bytes`` that have all its windows: each but the first repeats ``length`` - 1 words."""
+    data = text.encode()
+    if len(data) <= block_bytes:
+        yield text
+        return
+    words = find_words(np.frombuffer(data, np.uint8), np.array([0, len(data)]), NOT_ALNUM)
+    k = 0
+    while k < len(words.starts):
+        end = max(k + length, int(np.searchsorted(words.ends, words.starts[k] + block_bytes, "right")))
+        if end >= len(words.starts):
+            yield data[words.starts[min(k, max(0, len(words.starts) - length))] :].decode()
+            return
+        yield data[words.starts[k] : words.ends[end - 1]].decode()
+        k = end - length + 1
+
+
+def blocks(items: DataFrame, length: int, block_bytes: int) -> Iterator[list[tuple[str | None, str]]]:
+    """(id, text) rows, equal ones once, in lists of about ``block_bytes`` of text and ids; at least one list."""
+    rows, size, made = [], 0, False
+    for r in items.distinct().toLocalIterator():
+        for part in _parts(r["text"], length, block_bytes):
+            if rows and size + len(part.encode()) > block_bytes:
+                yield rows
+                rows, size, made = [], 0, True
+            rows.append((r["id"], part))
+            size += len(part.encode()) + len(r["id"] or "") + 16
+    if rows or not made:
+        yield rows
+
+
 def scan(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -73,13 +135,9 @@ def scan(
     """``docs`` with ``n_words`` long, ``hit_words`` array<int> (positions, ascending) and ``hit_items`` array<string> (sorted)."""
     sc = docs.sparkSession.sparkContext
     items = benchmark.select(F.col("item_id").cast("string").alias("id"), F.col("text")).where(F.col("text").isNotNull())
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-total // block_bytes))
-    hash_of = F.pmod(F.xxhash64("id", "text"), F.lit(blocks))
     result = docs
     parts: list[tuple[str, str]] = []
-    for block in range(blocks):
-        rows = [(r["id"], r["text"]) for r in items.where(hash_of == block).collect()]  # at most about block_bytes
+    for block, rows in enumerate(blocks(items, length, block_bytes)):
         sent = sc.broadcast(WindowIndex(rows, length))
         words_name, items_name = (fresh(f"__{k}{block}", result.columns) for k in ("hit_words", "hit_items"))
         parts.append((words_name, items_name))
