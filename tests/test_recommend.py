@@ -1,3 +1,4 @@
+import re
 from math import log, log2, sqrt
 
 import numpy as np
@@ -189,3 +190,40 @@ def test_unit_vector_example(spark):
     weights = {(i, t): w for i, t, w in rows(model.vector_rows())}
     b = log(3 / 2) + 1
     assert abs(weights[(1, "bb")] - b / sqrt(1 + b * b)) < 1e-12 and weights[(2, "aa")] == 1.0
+
+
+@pytest.mark.parametrize("broadcast_bytes", [0, 1 << 26])
+def test_profiles_are_summed_in_a_stream(spark, shop, monkeypatch, broadcast_bytes):
+    """Users whose rows go on over many slices, repeated and unknown products, a product listed twice; no entry is shuffled."""
+    monkeypatch.setattr(recommend, "BROADCAST_BYTES", broadcast_bytes)
+    monkeypatch.setattr(scoring, "SUMMED", 2)
+    products, users, history = shop
+    products = products.unionByName(products.where("product_id = 'p3'"))
+    model = recommend.fit_content(products)
+    folded = recommend.history_counts(users, history)
+    made = recommend.user_profiles(folded, model)
+    vectors = model.vectors().collect()
+    sums = {}
+    for user, product in {(r.user_id, r.product_id) for r in folded.collect()}:
+        n = history.where((F.col("user_id") == user) & (F.col("product_id") == product)).count()
+        own = sums.setdefault(user, {})
+        for v in vectors:
+            if v.product_id == product:
+                for i, w in zip(v.idx, v.w):
+                    own[i] = own.get(i, 0.0) + n * w
+    got = {r.user_id: dict(zip(r.idx, r.w)) for r in made.collect()}
+    assert got.keys() == sums.keys() and got["lost"] == {}
+    assert all(got[u] == pytest.approx(s) and list(got[u]) == sorted(s) for u, s in sums.items())
+    assert "Aggregate" not in made._jdf.queryExecution().executedPlan().toString().split("MapInArrow")[1].split("Join")[0]
+
+
+def test_listed_pairs_are_dealt_before_they_are_folded(spark):
+    """One task may make the lists of all users: none of them may be folded where they are made."""
+    lists = spark.range(50).select(F.col("id").alias("user_id"), F.explode(F.sequence(F.lit(1), F.lit(4))).alias("rank"))
+    lists = lists.withColumn("product_id", F.col("rank").cast("long"))
+    test = spark.range(50).select(F.col("id").alias("user_id"), (F.col("id") % 5 + 1).alias("product_id"))
+    made = evaluate.user_metrics(test.unionByName(test), lists.unionByName(lists.where("user_id < 3")), 4)
+    above = made._jdf.queryExecution().executedPlan().toString().split("Union")[0]
+    assert re.findall("HashAggregate|Exchange", above)[-1] == "Exchange"
+    got = {r.user_id: (r.precision, r.recall) for r in made.collect()}
+    assert got == {u: ((0.25, 1.0) if u % 5 < 4 else (0.0, 0.0)) for u in range(50)}
