@@ -214,7 +214,22 @@ def test_profiles_are_summed_in_a_stream(spark, shop, monkeypatch, broadcast_byt
     got = {r.user_id: dict(zip(r.idx, r.w)) for r in made.collect()}
     assert got.keys() == sums.keys() and got["lost"] == {}
     assert all(got[u] == pytest.approx(s) and list(got[u]) == sorted(s) for u, s in sums.items())
-    assert "Aggregate" not in made._jdf.queryExecution().executedPlan().toString().split("MapInArrow")[1].split("Join")[0]
+    assert "Aggregate" not in made._jdf.queryExecution().executedPlan().toString().split("MapInArrow")[1].split("Exchange")[0]
+
+
+@pytest.mark.parametrize("broadcast_bytes", [0, 1 << 26])
+def test_a_user_has_one_profile(spark, shop, monkeypatch, broadcast_bytes):
+    """The rows of a user lie apart in the history."""
+    monkeypatch.setattr(recommend, "BROADCAST_BYTES", broadcast_bytes)
+    model = recommend.fit_content(shop[0])
+    history = spark.range(2000).select(
+        (F.col("id") % 100).cast("string").alias("user_id"), F.concat(F.lit("p"), F.col("id") % 3 + 1).alias("product_id"), F.lit(1).alias("n")
+    )
+    made = recommend.user_profiles(history, model)
+    total = model.vectors().where("product_id IN ('p1', 'p2', 'p3')").select(F.explode("w").alias("w")).agg(F.sum("w")).first()[0]
+    got = made.select("user_id", F.aggregate("w", F.lit(0.0), lambda a, x: a + x).alias("w")).collect()
+    assert len(got) == len({r.user_id for r in got}) == 100
+    assert all(abs(r.w - 20 / 3 * total) < 20 for r in got)
 
 
 def test_listed_pairs_are_dealt_before_they_are_folded(spark):
