@@ -112,3 +112,22 @@ def test_the_bound_holds_for_every_value():
     kept = dict(zip(counters.values.to_pylist(), counters.counts.tolist()))
     for value, n in collections.Counter(values).items():
         assert kept.get(value, 0) <= n <= kept.get(value, 0) + counters.error
+
+
+def test_arrays_reach_a_task_in_small_batches(spark, monkeypatch):
+    """A row may hold a whole text: memory of a task must not follow the session's batch of rows."""
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    seen = []
+    materialize_ = heavy.materialize
+
+    def watched(df, name):
+        seen.append((name, spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")))
+        return materialize_(df, name)
+
+    monkeypatch.setattr(heavy, "materialize", watched)
+    words = [f"w{i % 700}" for i in range(3000)]
+    df = spark.createDataFrame([(words,)] * 600 + [([],), (None,)], "x array<string>").repartition(2)
+    found = heavy.top_counts(df, "x", 3, 100)
+    assert [tuple(r) for r in found.rows.collect()] == [("w0", 3000), ("w1", 3000), ("w10", 3000)]
+    assert {int(n) for name, n in seen if name == "counters"} == {heavy.ARRAYS}
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
