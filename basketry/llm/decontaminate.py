@@ -189,8 +189,9 @@ def digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def remove_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, columns as they were."""
     # Result columns are computed beside a packed copy, so that columns of the same name survive.
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text"))
-    return scan(packed, benchmark).where(~contaminated()).select("row.*")
+    others = [F.col(f"`{c}`") for c in docs.columns if c.lower() != "text"] or [F.lit(0)]
+    left = scan(docs.select(F.struct(*others).alias("row"), F.col("text")), benchmark).where(~contaminated())
+    return left.select(*[F.col("text").alias(c) if c.lower() == "text" else F.col(f"row.`{c}`") for c in docs.columns])
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

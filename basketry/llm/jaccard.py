@@ -386,10 +386,15 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     Rows without words or doc_id link with nothing and stay.
     """
     found = linked_components(docs.select("doc_id", "text")).where("n_shingles > 0 and component_id <> doc_id").select("doc_id").distinct()
-    left = docs.join(found, "doc_id", "left_anti")
+    # Ids are stored, so that their size is known: while they are few enough to be sent to every task, no text is shuffled.
+    left = docs.join(materialize(found, "near_copies"), "doc_id", "left_anti")
+    repeated = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+    repeated = materialize(repeated, "repeated_ids")
+    several = left.join(repeated, "doc_id", "left_semi")
     # Of several rows with the same doc_id and words, one stays.
     names = [fresh(n, docs.columns) for n in ("__own", "__nth")]
-    alone = F.col("doc_id").isNull() | ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    alone = ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
     own = F.when(alone, F.xxhash64(F.monotonically_increasing_id())).otherwise(F.lit(0))
     nth = F.row_number().over(Window.partitionBy("doc_id", names[0]).orderBy(F.xxhash64("text")))
-    return left.withColumn(names[0], own).withColumn(names[1], nth).where(F.col(names[1]) == 1).drop(*names)
+    first = several.withColumn(names[0], own).withColumn(names[1], nth).where(F.col(names[1]) == 1).drop(*names)
+    return left.join(repeated, "doc_id", "left_anti").unionByName(first)

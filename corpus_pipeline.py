@@ -7,15 +7,32 @@ the columns of ``documents``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
 from basketry.llm import decontaminate, jaccard, packing, pii, rules
 from basketry.llm.queries import tokenizer_path
-from basketry.session import materialize
+from basketry.session import materialize, small_batches
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: Rows are whole texts: a task holds so many at most in an Arrow batch, on both sides.
+BATCH_ROWS = 1000
+
+
+def whole_texts(stage: Stage) -> Stage:
+    """A stage whose frame is read after it returns, with the batches of ``BATCH_ROWS`` that the session then keeps."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+        now = int(spark.conf.get(name))
+        spark.conf.set(name, str(min(BATCH_ROWS, now) if now > 0 else BATCH_ROWS))
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that the base rules or the thresholds of their group reject."""
@@ -27,11 +44,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return jaccard.drop_near_duplicates(docs)
 
 
+@whole_texts
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without documents of which a twentieth of the words or more is benchmark text."""
     return decontaminate.remove_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+@whole_texts
 def pii_pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts with personal data and secrets as pseudonyms."""
     return pii.mask(docs)
@@ -56,6 +75,7 @@ ORACLE_SQL: str | None = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+    with small_batches(spark, BATCH_ROWS):
+        for name, stage in STAGES:
+            docs = materialize(stage(spark, docs, sf_dir), name)
     return docs

@@ -1,6 +1,7 @@
 """The pipeline against a brute-force version of all five stages."""
 
 import collections
+import contextlib
 import random
 import re
 import zlib
@@ -160,3 +161,25 @@ def test_empty_tables(spark, tables, tmp_path):
     spark.createDataFrame([], COLUMNS).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_texts_go_to_tasks_once_and_in_small_batches(spark, tables):
+    from basketry.llm import decontaminate
+
+    docs = spark.createDataFrame([(1, "one two three", 7), (2, None, 8)], "doc_id long, text string, hit_words int")
+    items = spark.createDataFrame([(1, "one two")], "item_id long, text string")
+    left = decontaminate.remove_documents(docs, items)
+    row = re.search(r"struct\(([^()]*)\) AS row", left._jdf.queryExecution().analyzed().toString()).group(1)
+    assert "doc_id" in row and "text" not in row
+    assert left.columns == docs.columns and [tuple(r) for r in left.collect()] == [(2, None, 8)]
+    assert decontaminate.remove_documents(docs.select("text"), items).collect() == [(None,)]
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    try:
+        for stage in (corpus_pipeline.benchmark_decontamination, corpus_pipeline.pii_pseudonyms):
+            spark.conf.set(name, "10000")
+            with pytest.raises(Exception, match="benchmark|PATH_NOT_FOUND") if stage is corpus_pipeline.benchmark_decontamination else contextlib.nullcontext():
+                stage(spark, docs, "/nowhere")
+            assert int(spark.conf.get(name)) == corpus_pipeline.BATCH_ROWS
+    finally:
+        spark.conf.set(name, before)

@@ -343,3 +343,20 @@ def test_empty_tables(spark, sf_dir, tmp_path, name):
         spark.read.parquet(f"{sf_dir}/{t}.parquet").where("false").write.parquet(f"{tmp_path}/{t}.parquet")
     rows = queries.QUERIES[name](spark, str(tmp_path)).collect()
     assert len(rows) == (1 if name.startswith("op8") else 0)
+
+
+def test_near_duplicates_shuffle_no_text_but_of_repeated_ids(spark, monkeypatch):
+    texts = [(k, f"{chr(97 + k)} w x y z {k}", "n") for k in range(20)]
+    texts += [(3, "a b c d e f", "again"), (None, "null id", "x"), (None, "null id", "y"), (5, " ", "blank"), (5, None, "null")]
+    df = spark.createDataFrame(texts, "doc_id long, text string, n string")
+    found = spark.createDataFrame([(k, 2, k // 10 * 10 if k in (0, 1, 10, 11) else k) for k in range(20)], "doc_id long, n_shingles long, component_id long")
+    monkeypatch.setattr(jaccard, "linked_components", lambda docs: found)
+    left = jaccard.drop_near_duplicates(df)
+    rows = left.collect()
+    assert sorted(-1 if r.doc_id is None else r.doc_id for r in rows) == sorted([-1, -1, 5, 5, *({*range(20)} - {1, 11})])
+    assert left.columns == df.columns
+    plan = left._jdf.queryExecution().optimizedPlan().toString()
+    window = plan[plan.index("Window [") :]
+    assert "LeftSemi" in window  # only rows with a repeated id are sorted
+    physical = left._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in physical and "BroadcastHashJoin" in physical
