@@ -19,13 +19,13 @@ columns pass through ``score``; one that is called like a result column is repla
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,8 +34,9 @@ from basketry.llm.words import LOWER, text_chunks
 from basketry.session import materialize
 
 ORDER = 7  # a key of eight bytes would not fit a signed long
-SHARD_BYTES = 64 << 20
-FOLD_ROWS = 2 << 20
+SHARD_BYTES = 32 << 20
+FOLD_ROWS = 1 << 20
+BATCH_ROWS = 1000  # of texts; executors hold several batches at once
 FILTER_BITS = 27
 _ROW_BYTES = 16
 QUANTILE = 0.995
@@ -73,7 +74,8 @@ def trusted_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "lang", "text").where("doc_id is not null")
     sent = key_filter(good.select(F.xxhash64("doc_id").alias("h")), "h", FILTER_BITS)
     passed = split_by_keys(narrow.select("doc_id"), sent, "doc_id")[0].distinct().join(good, "doc_id", "left_anti")
-    others = materialize(passed, "kn_others")
+    with small_batches(docs.sparkSession, BATCH_ROWS):
+        others = materialize(passed, "kn_others")
     return split_by_keys(narrow, sent, "doc_id")[0].join(others, "doc_id", "left_anti")
 
 
@@ -86,6 +88,12 @@ def _fold(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.nd
     return keys[first], np.add.reduceat(counts[order], first) if len(first) else counts
 
 
+def _batches(keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    whole = pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], names=["key", "c"])
+    for at in range(0, len(keys), 1 << 16):
+        yield whole.slice(at, 1 << 16)
+
+
 def gram_counts(texts: DataFrame) -> DataFrame:
     """(key, c) of all n-grams of the highest order."""
 
@@ -101,10 +109,10 @@ def gram_counts(texts: DataFrame) -> DataFrame:
                 parts = [_fold(parts)]
                 held = len(parts[0][0])
                 if held > FOLD_ROWS // 2:  # new n-grams keep coming: on to the shuffle
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in parts[0]], names=["key", "c"])
+                    yield from _batches(*parts[0])
                     parts, held = [], 0
         if parts:
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in _fold(parts)], names=["key", "c"])
+            yield from _batches(*_fold(parts))
 
     return texts.select("text").mapInArrow(run, "key long, c long").groupBy("key").agg(F.sum("c").alias("c"))
 
@@ -136,21 +144,22 @@ def probability_table(counts: DataFrame) -> DataFrame:
         d = _discounts(tables[k])
         c = F.col("c")
         cut = F.when(c == 1, d[0]).when(c == 2, d[1]).otherwise(d[2])
-        contexts = (
-            tables[k].groupBy(F.shiftright("key", 8).alias("context"))
-            .agg(F.sum("c").alias("total"), F.sum(cut).alias("freed"))
-            .select("context", "total", (F.col("freed") / F.col("total")).alias("weight"))
+        same = Window.partitionBy("context")  # at most 256 rows
+        joined = tables[k].withColumn("context", F.shiftright("key", 8)).select(
+            "key", "c", F.sum("c").over(same).alias("total"), F.sum(cut).over(same).alias("freed"), (F.min("key").over(same) == F.col("key")).alias("first")
         )
-        joined = tables[k].withColumn("context", F.shiftright("key", 8)).join(contexts, "context")
         if lower is None:
             base: Column = F.lit(1 / 256)
         else:
             joined = joined.withColumn("suffix", _low(k - 1)).join(lower.select(F.col("key").alias("suffix"), F.col("value").alias("base")), "suffix")
             base = F.col("base")
-        value = (c - cut) / F.col("total") + F.col("weight") * base
-        lower = materialize(joined.select("key", value.alias("value"), (c == 1).alias("once")), f"kn_p{k}")
+        weight = F.col("freed") / F.col("total")
+        value = (c - cut) / F.col("total") + weight * base
+        columns = [value.alias("value"), (c == 1).alias("once"), F.when(F.col("first"), weight).alias("weight"), (F.col("total") == 1).alias("alone")]
+        lower = materialize(joined.select("key", *columns), f"kn_p{k}")
         rows.append(lower.select(F.lit(k).alias("order"), "key", "value", "once"))
-        rows.append(contexts.select(F.lit(1 - k).alias("order"), F.col("context").alias("key"), F.col("weight").alias("value"), (F.col("total") == 1).alias("once")))
+        contexts = lower.where("weight is not null")  # one row of each context has it
+        rows.append(contexts.select(F.lit(1 - k).alias("order"), F.shiftright("key", 8).alias("key"), F.col("weight").alias("value"), F.col("alone").alias("once")))
     table = rows[0]
     for r in rows[1:]:
         table = table.unionByName(r)
@@ -245,10 +254,11 @@ def _shards_of(contexts: np.ndarray, shards: int) -> np.ndarray:
 def _bits(texts: pa.Array, shard: Shard, s: int, shards: int) -> list[pa.Array]:
     """The bits of each text at the positions that shard ``s`` covers, as they are and left out."""
     bits: tuple[list, list] = ([np.zeros(0)], [np.zeros(0)])
-    for a, b, data, offsets in text_chunks(texts):
+    covered = _shards_of(np.arange(1 << 16), shards) == s
+    for a, b, data, offsets in text_chunks(texts, 1 << 18):
         keys, doc = _grams(data, offsets)
         if shards > 1:
-            mine = _shards_of(keys >> 8, shards) == s
+            mine = np.flatnonzero(covered[keys >> 8 & 0xFFFF])
             keys, doc = keys[mine], doc[mine]
         for made, found in zip(bits, shard.log2_both(keys), strict=True):
             made.append(-np.bincount(doc, found, b - a))
@@ -282,7 +292,7 @@ def scorer(
     if shards == 1:
         sent = send(0)
     else:
-        with small_batches(spark, 1000):
+        with small_batches(spark, BATCH_ROWS):
             found = _passes(docs.select(F.sha2(text, 256).alias("digest"), text.alias("text")), send, shards)
 
     def add(rows: DataFrame, left_out: bool = False) -> DataFrame:
@@ -347,15 +357,18 @@ def _join_by_text(docs: DataFrame, text: Column, found: DataFrame, *names: str)
 
 def train(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The probability table, and the trusted documents."""
-    trusted = trusted_documents(docs, labels)  # read twice from the table, not written
-    return materialize(probability_table(materialize(gram_counts(trusted), "kn_counts")), "kneser_ney"), trusted
+    trusted = trusted_documents(docs, labels)  # read twice, not written
+    with small_batches(docs.sparkSession, BATCH_ROWS):
+        counts = materialize(gram_counts(trusted), "kn_counts")
+    return probability_table(counts), trusted
 
 
 def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, margin: float = MARGIN) -> DataFrame:
     """``docs`` with perplexity, threshold and kept."""
     table, trusted = train(docs, labels)
     add = scorer(docs, table)
-    trusted = materialize(add(trusted, left_out=True).where("perplexity is not null").select("lang", "perplexity"), "trusted_perplexity")
+    with small_batches(docs.sparkSession, BATCH_ROWS):
+        trusted = materialize(add(trusted, left_out=True).where("perplexity is not null").select("lang", "perplexity"), "trusted_perplexity")
     q = F.percentile_approx("perplexity", quantile, 10_000)
     every = trusted.agg((q * margin).alias("t")).first()["t"]
     language, limit = fresh("__lang", docs.columns), fresh("__limit", docs.columns)
