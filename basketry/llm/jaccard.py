@@ -27,12 +27,14 @@ through ``drop_near_duplicates``.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.llm.common import binary_column, fresh, map_words, releasing, small_batches, split_by_keys
+from basketry.llm.common import binary_column, fresh, key_filter, map_words, releasing, small_batches, split_by_keys
 from basketry.llm.graph import components
 from basketry.llm.words import LOWER, Words, mix
 from basketry.session import materialize
@@ -42,6 +44,7 @@ GROUPS = 64
 SKETCH_BITS = 20
 SKETCH_SHARDS = 64
 BLOCK = 4096
+FILTER_BITS = 20, 27  # 16 for an id, up to 16 MB
 _LEAF, _FAN = 32, 16
 
 
@@ -125,16 +128,15 @@ def feature_table(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
     return map_words(docs, "doc_id", "text", schema, emit, lower=LOWER)
 
 
-def _prefix_rows(representatives: DataFrame) -> DataFrame:
-    @releasing
-    def run(batches):
-        for batch in batches:
-            keys = [np.frombuffer(x.as_py(), np.int64) for x in batch.column(1)]
-            if keys:
-                ids = np.repeat(batch.column(0).to_numpy(), [len(k) for k in keys])
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(ids)], names=["token", "doc"])
+_PREFIX_ROW = "token long, doc long"
+
 
-    return representatives.select("doc_id", "prefix").mapInArrow(run, "token long, doc long")
+def _prefix_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keys = [np.frombuffer(x.as_py(), np.int64) for x in batch.column("prefix")]
+        if keys:
+            ids = np.repeat(batch.column("doc_id").to_numpy(), [len(k) for k in keys])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys)), pa.array(ids)], names=["token", "doc"])
 
 
 def may_link(overlap: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -185,8 +187,10 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
         own = [keys[a:b] for a, b in zip(first, first[1:], strict=False)]
         return [ids_, pa.array([len(k) for k in own], pa.int64()), binary_column(map(_fine, own)), binary_column(k.tobytes() for k in own)]
 
-    texts = split_by_keys(docs.select("doc_id", "text"), ids, "doc_id")[0].join(ids, "doc_id", "left_semi")
-    sets = map_words(texts, "doc_id", "text", "doc_id long, n long, fine binary, keys binary", emit, lower=LOWER)
+    # A few sets that no pair asks for do no harm: texts are neither joined nor shuffled, and go through one worker.
+    least, most = FILTER_BITS
+    held = key_filter(ids.select(F.xxhash64("doc_id").alias("h")), "h", min(most, max(least, (16 * ids.count()).bit_length())))
+    sets = map_words(docs, "doc_id", "text", "doc_id long, n long, fine binary, keys binary", emit, lower=LOWER, among=held)
     sets = materialize(sets, "sets")
     for x in ("a", "b"):
         pairs = pairs.join(sets.select(F.col("doc_id").alias(x), F.col("n").alias(f"n{x}"), F.col("fine").alias(f"f{x}")), x)
@@ -340,11 +344,12 @@ def _linked_components(docs: DataFrame) -> DataFrame:
     # Most sets are of one document: only those that may be a copy's are looked up.
     copies = features.join(classes, fingerprint).where("doc_id <> rep").select("doc_id", *fingerprint, "rep")
     copies = materialize(copies, "copies")
-    unsure, single = split_by_keys(features.select("doc_id", *fingerprint, "prefix"), copies, "doc_id")
+    prefixes = (_prefix_rows, _PREFIX_ROW)
+    unsure, single = split_by_keys(features.select("doc_id", *fingerprint, "prefix"), copies, "doc_id", rest=prefixes)
     unsure = unsure.join(copies, ["doc_id", *fingerprint], "left_anti").dropDuplicates(["doc_id", *fingerprint])
-    chosen = single.unionByName(unsure)
+    chosen = single.unionByName(unsure.select("doc_id", "prefix").mapInArrow(releasing(_prefix_rows), _PREFIX_ROW))
     cell = Window.partitionBy("token")
-    cells = _prefix_rows(chosen).select("token", "doc", F.min("doc").over(cell).alias("pivot"), F.count("doc").over(cell).alias("members"))
+    cells = chosen.select("token", "doc", F.min("doc").over(cell).alias("pivot"), F.count("doc").over(cell).alias("members"))
     cells = materialize(cells.where("members > 1"), "cells")
 
     # A doc_id has a point for each of its texts; a pair goes on if any two of them may link.

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from basketry.llm import pii, queries
+from basketry.llm import jaccard, pii, queries
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, row int, n_words string, hit_words int"
 
@@ -183,3 +183,39 @@ def test_texts_go_to_tasks_once_and_in_small_batches(spark, tables):
             assert int(spark.conf.get(name)) == corpus_pipeline.BATCH_ROWS
     finally:
         spark.conf.set(name, before)
+
+
+def test_near_duplicates_take_one_worker_for_a_task(spark, tables, monkeypatch):
+    """A worker for each Python function of a stage and core is kept until all are idle."""
+
+    def most(node, above=0):
+        if node.nodeName() == "AdaptiveSparkPlan":
+            return most(node.executedPlan(), above)
+        here = 0 if "Exchange" in node.nodeName() else above + (node.nodeName() == "MapInArrow")
+        children = node.children()
+        return max([here, *(most(children.apply(k), here) for k in range(children.size()))])
+
+    found = {}
+
+    def recorded(df, name, run=jaccard.materialize):
+        found[name] = max(found.get(name, 0), most(df._jdf.queryExecution().executedPlan()))
+        return run(df, name)
+
+    monkeypatch.setattr(jaccard, "materialize", recorded)
+    docs = spark.createDataFrame(tables[0], COLUMNS)
+    left = jaccard.drop_near_duplicates(docs)
+    assert found["cells"] == found["sets"] == 1 and max(found.values()) == 1
+    assert most(left._jdf.queryExecution().executedPlan()) == 0
+    kept = [d[0] for d in after_join([d for d in tables[0] if words(d[1])])]
+    assert sorted(r.doc_id for r in left.collect()) == sorted(kept + [d[0] for d in tables[0] if not words(d[1])])
+
+
+def test_sets_of_candidates_only(spark):
+    """The filter lets all ids of pairs through, and hardly any other."""
+    docs = spark.range(3000).selectExpr("id as doc_id", "concat('a b c d e f g ', id div 2) as text")
+    ids = docs.where("doc_id < 20").select("doc_id")
+    from basketry.llm.common import key_filter, map_words
+
+    held = key_filter(ids.selectExpr("xxhash64(doc_id) as h"), "h", 20)
+    made = map_words(docs, "doc_id", "text", "doc_id long, n int", lambda i, w: [i, w.counts.astype("i4")], among=held).collect()
+    assert {tuple(r) for r in made} >= {(k, 8) for k in range(20)} and len(made) < 40
