@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from basketry.operators import evaluate, holdout, item_index, recommend, scoring, tfidf
+from basketry.session import materialize
 
 
 def rows(df, *order):
@@ -100,6 +101,44 @@ def test_content_lists_against_brute_force(spark, shop, monkeypatch, broadcast_b
     assert got == expected
 
 
+@pytest.mark.parametrize("broadcast_bytes", [0, 1 << 26])
+def test_profiles_are_neither_stored_nor_shuffled(spark, shop, monkeypatch, broadcast_bytes):
+    """Only the products of a user's history are; profiles are summed where they are compared."""
+    products, users, history = shop
+    model = recommend.fit_content(products)
+    stored = {}
+
+    def recorded(df, name):
+        stored[name] = (df.columns, df._jdf.queryExecution().executedPlan().toString())
+        return materialize(df, name)
+
+    for module in (recommend, scoring, item_index):
+        monkeypatch.setattr(module, "materialize", recorded, raising=False)
+    made = recommend.recommend_content(users, products, history, 3, model, broadcast_bytes=broadcast_bytes)
+    assert made.count() == 4 * 3
+    assert {"history", "histories", "scores"} <= stored.keys()
+    assert not any("w" in columns for columns, _ in stored.values())
+    assert "Exchange" not in stored["scores"][1]
+
+
+def test_profiles_summed_for_queries(spark, shop, monkeypatch):
+    """The sums of ``user_profiles``, over many slices, with repeated and unknown products and a product listed twice."""
+    monkeypatch.setattr(scoring, "SUMMED", 2)
+    products, users, history = shop
+    products = products.unionByName(products.where("product_id = 'p3'"))
+    model = recommend.fit_content(products)
+    folded = recommend.history_counts(users, history)
+    profiles = {r.user_id: dict(zip(r.idx, r.w)) for r in recommend.user_profiles(folded, model).collect()}
+    asked = recommend.profile_queries(folded, model)
+    batch = asked.rows.toArrow().combine_chunks().to_batches()[0]
+    got = dict(zip(batch.column("q").to_pylist(), asked.vectors(batch)))
+    assert got.keys() == profiles.keys() and not got["lost"].any()
+    for user, row in got.items():
+        assert {int(i): row[i] for i in np.flatnonzero(row)} == pytest.approx(profiles[user])
+    seen = dict(zip(batch.column("q").to_pylist(), map(set, batch.column("seen").to_pylist())))
+    assert seen == {"u1": {"p1", "p3"}, "lost": set(), "all": {f"p{i}" for i in range(1, 6)}}
+
+
 def test_cold_users(spark, shop):
     _, users, history = shop
     assert rows(recommend.cold_start_users(users, history)) == [("cold",)]
