@@ -168,6 +168,21 @@ def test_similar_items(spark, shop):
     assert got[("p1", 1)] == "p2" and got[("p3", 1)] == "p4" and ("p5", 1) in got
 
 
+@pytest.mark.parametrize("broadcast_bytes", [0, 1 << 26])
+def test_similar_items_shuffle_no_queries(spark, shop, monkeypatch, broadcast_bytes):
+    """The items are asked for where their counts are stored; only the index is sorted."""
+    plans = {}
+
+    def recorded(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return materialize(df, name)
+
+    for module in (scoring, item_index):
+        monkeypatch.setattr(module, "materialize", recorded, raising=False)
+    assert recommend.similar_items(recommend.fit_content(shop[0]), 2, broadcast_bytes).count() == 5 * 2
+    assert "scores" in plans and not any("Exchange" in plans[name] for name in plans.keys() & {"scores", "queries"})
+
+
 @pytest.mark.parametrize("broadcast_bytes", [0, 1 << 26])
 def test_top_scores_over_many_blocks(spark, monkeypatch, broadcast_bytes):
     monkeypatch.setattr(scoring, "BROADCAST_BYTES", broadcast_bytes)
